@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def texts(docs: DataFrame) -> DataFrame:
 
 def cut(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold at most `most` bytes together, or a single longer text."""
-    lengths = pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))).to_pylist()
+    lengths = pc.binary_length(batch.column(batch.schema.get_field_index(column))).to_pylist()
     begin = total = 0
     for i, n in enumerate(lengths):
         n = n or 0

@@ -30,8 +30,10 @@ from .runtime import cut, new_path, texts
 from .subwords import encoder
 
 WINDOW = 8
+#: Bytes of text encoded in one step.
+TEXT = 4_000_000
 #: Chunk sizes in ids; the mean is about LEAST + 2**BITS.
-LEAST, MOST, BITS = 64, 2048, 8
+LEAST, MOST, BITS = 128, 4096, 9
 
 RAW = "kind string, address binary, uid long, doc_id long, n_ids long, body binary, lengths binary"
 RAW_ARROW = pa.schema([("kind", pa.string()), ("address", pa.binary()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_ids", pa.int64()), ("body", pa.binary()), ("lengths", pa.binary())])
@@ -84,7 +86,7 @@ def _encode(path: str, keeps_space: bool, end_id: int):
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
         for batch in batches:
-            for part in cut(batch):
+            for part in cut(batch, most=TEXT):
                 rows: list[tuple] = []
                 given: set[bytes] = set()  # Spark's own map-side step drops the rest of a task's repeats
                 for doc_id, body in zip(part.column(0).to_pylist(), enc.encode_all([t or "" for t in part.column(1).to_pylist()]), strict=True):

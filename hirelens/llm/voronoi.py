@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def _integers(scale: int):
         for b in batches:
             ids, column = b.column(0), b.column(1)
             lists = column.cast(pa.list_(pa.float64()))
-            width = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            width = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
             values = lists.flatten().to_numpy(zero_copy_only=False)  # null components come as NaN
             finite = np.r_[0, np.cumsum(~np.isfinite(values))]
             ends = np.cumsum(width)
