@@ -50,17 +50,18 @@ def _segments(text: str) -> list[str]:
 def profiles(batch: list[str | None], dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
     """(bundled vectors, numbers of trigrams) of texts."""
     out, n = np.zeros((len(batch), dimensions), np.float32), np.zeros(len(batch), np.int64)
-    parts = [(k, s) for k, t in enumerate(batch) if t for s in _segments(t.lower())]
+    # A text is set between blanks, so even one letter makes a trigram.
+    parts = [(k, s, not i) for k, t in enumerate(batch) if t for i, s in enumerate(_segments(f" {t.lower()} "))]
     begin = 0
     while begin < len(parts):
         end, size = begin, 0
         while end < len(parts) and (end == begin or size + len(parts[end][1]) <= SEGMENT):
             size += len(parts[end][1])
             end += 1
-        owner = [k for k, _ in parts[begin:end]]
-        joined = "\n".join(["", *[s for _, s in parts[begin:end]], ""])
+        owner = [k for k, _, _ in parts[begin:end]]
+        joined = "\n".join(["", *[s for _, s, _ in parts[begin:end]], ""])
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        segment = np.cumsum(np.r_[0, np.array([len(s) + 1 for _, s in parts[begin:end]])])
+        segment = np.cumsum(np.r_[0, np.array([len(s) + 1 for _, s, _ in parts[begin:end]])])
         at = np.repeat(np.arange(end - begin), np.diff(segment))  # of each character after the first
         letters = _letters()[codes]
         letter = np.where(letters, codes, np.uint32(32))
@@ -72,7 +73,9 @@ def profiles(batch: list[str | None], dimensions: int = DIMENSIONS) -> tuple[np.
         place[kinds] = np.arange(len(kinds), dtype=np.int32)
         kind = place[letter]
         blank = int(np.searchsorted(kinds, 32))
-        keep = np.flatnonzero(letters[1:] | letters[:-1]) + 1  # of a run of others only the first stays
+        stays = letters[1:] | letters[:-1]  # of a run of others only the first stays
+        stays[segment[:-1][[x for _, _, x in parts[begin:end]]]] = True
+        keep = np.flatnonzero(stays) + 1
         kind, at = kind[keep], at[np.minimum(keep - 1, len(at) - 1)]
         if len(keep) >= 3:
             whole = (at[2:] == at[:-2]) & ((kind[1:-1] != blank) | (kind[2:] != blank))

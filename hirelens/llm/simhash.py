@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .runtime import cut, staged, texts
 
@@ -233,27 +234,28 @@ def keep_one(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
     Rows without a doc_id stay only if their component has none with one; of rows that repeat the kept doc_id one stays.
     """
-    names = near_duplicates(docs, limit).select("doc_id", "fingerprint", "component_id")
-    # The kept ids are ids of components; of a null component, and of repeated rows, the first row is kept.
-    kept = names.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"), F.when(F.col("doc_id").isNull(), F.col("fingerprint")).alias("_code")).distinct()
-    ids = kept.where(F.col("_kept").isNotNull()).select("_kept")
-    with_id = docs.join(ids, docs["doc_id"].cast("long") == F.col("_kept"), "left_semi")
-    repeated = ids.join(docs.select(F.col("doc_id").cast("long").alias("_kept")), "_kept").groupBy("_kept").count().where("count > 1")
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])  # so that nothing below can clash
+    own_id, text = F.col(f"c{names.index('doc_id')}").cast("long"), f"c{names.index('text')}"
+    found = near_duplicates(docs, limit)
+    ids = found.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.count(F.lit(1)).alias("rows"))
+    with_id = plain.join(ids.select("component_id"), own_id == F.col("component_id"), "left_semi")
+    repeated = ids.where("rows > 1").select("component_id")
     if not repeated.isEmpty():
-        own = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[c for c, t in docs.dtypes if not t.startswith("map")]))
-        many = with_id.join(repeated, with_id["doc_id"].cast("long") == repeated["_kept"], "left_semi").withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
-        with_id = with_id.join(repeated, with_id["doc_id"].cast("long") == repeated["_kept"], "left_anti").unionByName(many)
-    if docs.where(F.col("doc_id").isNull()).isEmpty():
-        return with_id
-    nulls = docs.where(F.col("doc_id").isNull())
-    codes = kept.where(F.col("_kept").isNull()).select("_code")
-    place = docs.columns.index("text")
-
-    def code_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = Window.partitionBy(own_id).orderBy(F.xxhash64(*[c for c, t in plain.dtypes if not t.startswith("map")]))
+        many = with_id.join(repeated, own_id == F.col("component_id"), "left_semi").withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
+        with_id = with_id.join(repeated, own_id == F.col("component_id"), "left_anti").unionByName(many)
+    nulls = plain.where(own_id.isNull())
+    if nulls.isEmpty():
+        return with_id.toDF(*names)
+    place = plain.columns.index(text)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f"{fingerprint(t):016x}" for t in b.column(place).to_pylist()], pa.string())], [*b.schema.names, "_own"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f"{fingerprint(t):016x}" for t in b.column(place).to_pylist()], pa.string())], [*b.schema.names, "own_code"])
 
-    own = Window.partitionBy("_own").orderBy("text")
-    spec = docs.schema.add("_own", "string")
-    first = nulls.mapInArrow(code_of, spec).withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")
-    return with_id.unionByName(first.join(codes, F.col("_own") == F.col("_code"), "left_semi").drop("_own"))
+    codes = found.where(F.col("component_id").isNull()).select("fingerprint").distinct()
+    first = Window.partitionBy("own_code").orderBy(text)
+    marked = nulls.mapInArrow(mark, StructType([*plain.schema.fields, StructField("own_code", StringType())]))
+    alone = marked.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place").join(codes, F.col("own_code") == F.col("fingerprint"), "left_semi").drop("own_code")
+    return with_id.unionByName(alone).toDF(*names)
