@@ -15,6 +15,11 @@ SENTENCE = r"(?:합니다|됩니다|입니다|세요)\s*[.!]?$"
 TAIL_MARKS = " :·-|]）)"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def lines(text: Column) -> Column:
     """Each line with its marks: q, p, o (heading classes), kinds, column (a table header), bare and stacked."""
 
@@ -28,20 +33,24 @@ def lines(text: Column) -> Column:
 
     marked = F.transform(F.split(text, "\n"), mark)
     near = lambda a, i, d: F.coalesce(F.try_element_at(a, i + F.lit(1 + d))["bare"], F.lit(False))
-    return F.transform(marked, lambda x, i: x.withField("stacked", x["bare"] & (F.when(i > 0, near(marked, F.greatest(i, F.lit(1)), -1)).otherwise(F.lit(False)) | near(marked, i, 1))))
+    before = lambda a, i: F.when(i > 0, near(a, F.greatest(i, F.lit(1)), -1)).otherwise(F.lit(False))
+    return let(marked, lambda a: F.transform(a, lambda x, i: x.withField("stacked", x["bare"] & (before(a, i) | near(a, i, 1)))))
 
 
 def section(marked: Column, heading: str, pattern: str) -> Column:
     """From the first heading of a class to the next heading; null if there is none."""
     flags = F.transform(marked, lambda x: x[heading] & ~x["stacked"] & ~x["column"])
-    start = F.array_position(flags, F.lit(True)).cast("int")
+    return let(F.array_position(flags, F.lit(True)).cast("int"), lambda start: _from(marked, start, heading, pattern))
+
+
+def _from(marked: Column, start: Column, heading: str, pattern: str) -> Column:
     head = F.try_element_at(marked, F.greatest(start, F.lit(1)))["line"]
     after = F.regexp_replace(head, f"(?isu)^.*?(?:{pattern})", "")
     tail = F.when(head.rlike(SENTENCE), F.lit("")).otherwise(F.ltrim(after, F.lit(TAIL_MARKS)))
     rest = F.slice(marked, start + 1, F.greatest(F.size(marked) - start, F.lit(0)))
     keeps = lambda x: x["column"] | (x["kinds"] == 0) | (x[heading] & (strip_u(F.regexp_replace(x["line"], f"(?isu)^.*?(?:{pattern})", "")) != ""))
-    stop = F.array_position(F.transform(rest, lambda x: ~keeps(x)), F.lit(True)).cast("int")
-    own = F.when(stop > 0, F.slice(rest, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(rest)
+    first_stop = lambda r: F.array_position(F.transform(r, lambda x: ~keeps(x)), F.lit(True)).cast("int")
+    own = let(rest, lambda r: let(first_stop(r), lambda stop: F.when(stop > 0, F.slice(r, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(r)))
     body = F.filter(F.transform(F.filter(own, lambda x: ~x["column"]), lambda x: strip_u(x["line"])), lambda x: x != "")
     return F.when(start > 0, F.array_join(F.filter(F.concat(F.array(strip_u(tail)), body), lambda x: x != ""), "\n"))
 
@@ -54,9 +63,13 @@ def headings(marked: Column) -> Column:
 def split_body(text: Column) -> Column:
     """struct(req, pref).  Without a requirements heading: nothing in a text of three headings or more, what
     stands before the preferences, or the whole text."""
-    m = lines(F.coalesce(text, F.lit("")))
-    req, pref = section(m, "q", REQUIRED), section(m, "p", PREFERRED)
-    first = F.array_position(F.transform(m, lambda x: x["p"]), F.lit(True)).cast("int")
-    before = F.array_join(F.filter(F.transform(F.slice(m, 1, F.greatest(first - 1, F.lit(0))), lambda x: strip_u(x["line"])), lambda x: x != ""), "\n")
-    fallback = F.when(F.size(headings(m)) >= 3, F.lit("")).when(F.coalesce(pref, F.lit("")) != "", before).otherwise(strip_u(F.coalesce(text, F.lit(""))))
-    return F.struct(trim_field(F.when(F.coalesce(req, F.lit("")) != "", req).otherwise(fallback)).alias("req"), trim_field(F.coalesce(pref, F.lit(""))).alias("pref"))
+    whole = F.coalesce(text, F.lit(""))
+    both = lambda m: F.struct(m.alias("m"), F.coalesce(section(m, "q", REQUIRED), F.lit("")).alias("req"), F.coalesce(section(m, "p", PREFERRED), F.lit("")).alias("pref"))
+    return let(let(lines(whole), both), lambda x: F.struct(trim_field(F.when(x["req"] != "", x["req"]).otherwise(_fallback(whole, x))).alias("req"), trim_field(x["pref"]).alias("pref")))
+
+
+def _fallback(whole: Column, x: Column) -> Column:
+    m = x["m"]
+    first = F.array_position(F.transform(m, lambda y: y["p"]), F.lit(True)).cast("int")
+    before = F.array_join(F.filter(F.transform(F.slice(m, 1, F.greatest(first - 1, F.lit(0))), lambda y: strip_u(y["line"])), lambda y: y != ""), "\n")
+    return F.when(F.size(headings(m)) >= 3, F.lit("")).when(x["pref"] != "", before).otherwise(strip_u(whole))
