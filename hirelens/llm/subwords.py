@@ -77,8 +77,8 @@ class ChunkEncoder:
         if not self.keeps_space:
             return text.split() if plain else text.split(" ")
         if plain and "  " not in text and "\n\n" not in text and " \n" not in text and "\n " not in text:
-            # Alone, a line end is a pre-token, and a blank begins one.
-            return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+            # A line end alone is a pre-token, and a blank begins one.
+            return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
         parts = BEFORE_WORD.split(text)
         return [parts[0], *[f" {x}" for x in parts[1:]]]
 
@@ -130,8 +130,12 @@ class ChunkEncoder:
                     else:
                         more.append(c)
                         cut.append(findall(p))
-                elif c[1:].isalpha() and (c[0] == " " or c[0].isalpha()):
+                elif c[1:].isalpha() and (c[:1] == " " or c[:1].isalpha()):
                     words.append(c)
+                elif c[:1] == "\n" and c[1:].isalpha():
+                    pairs.append(c)
+                    first.append("\n")
+                    second.append(c[1:])
                 elif c[1:-1].isalpha() and c[0] == " " and c[-1] in ".,;:!?|":
                     pairs.append(c)
                     first.append(c[:-1])

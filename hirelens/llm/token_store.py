@@ -17,6 +17,7 @@ read.
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -39,19 +40,21 @@ RAW = "kind string, address binary, uid long, doc_id long, n_ids long, body bina
 RAW_ARROW = pa.schema([("kind", pa.string()), ("address", pa.binary()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_ids", pa.int64()), ("body", pa.binary()), ("lengths", pa.binary())])
 
 
-def cut_points(ids: np.ndarray, least: int = LEAST, most: int = MOST, bits: int = BITS) -> list[int]:
-    """Ends of the chunks of one id stream; the last is its length."""
-    n = len(ids)
-    if n <= least:
-        return [n]
+def marks(ids: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Places after which the rolling hash allows a cut.  It looks back WINDOW ids, less than LEAST, so the marks that
+    count within a document don't depend on what stands before it."""
     mixed = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
     mixed ^= mixed >> np.uint32(15)
-    rolling = np.zeros(n, np.uint32)
-    for j in range(WINDOW):
-        rolling[j:] += mixed[: n - j] << np.uint32(2 * j)
-    found = np.flatnonzero((rolling * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits) == 0) + 1
+    rolling = mixed.copy()
+    for j in range(1, WINDOW):
+        rolling[j:] += mixed[:-j] << np.uint32(2 * j)
+    return np.flatnonzero((rolling * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits) == 0) + 1
+
+
+def ends_of(found: list[int], n: int, least: int = LEAST, most: int = MOST) -> list[int]:
+    """Ends of the chunks of a stream of n ids with these marks; the last is n."""
     ends, last = [], 0
-    for p in found.tolist():
+    for p in found:
         while p - last > most:
             last += most
             ends.append(last)
@@ -66,6 +69,10 @@ def cut_points(ids: np.ndarray, least: int = LEAST, most: int = MOST, bits: int
     return ends
 
 
+def cut_points(ids: np.ndarray) -> list[int]:
+    return ends_of(marks(ids).tolist(), len(ids))
+
+
 def address(body: bytes) -> bytes:
     return hashlib.blake2b(body, digest_size=16).digest()
 
@@ -89,18 +96,24 @@ def _encode(path: str, keeps_space: bool, end_id: int):
             for part in cut(batch, most=TEXT):
                 rows: list[tuple] = []
                 given: set[bytes] = set()  # Spark's own map-side step drops the rest of a task's repeats
-                for doc_id, body in zip(part.column(0).to_pylist(), enc.encode_all([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    body += end
-                    ends = cut_points(np.frombuffer(body, enc.dtype))
-                    addresses, begin = [], 0
+                bodies = enc.encode_all([t or "" for t in part.column(1).to_pylist()])
+                data = b"".join([body + end for body in bodies])
+                sizes = np.fromiter((len(body) // width + 1 for body in bodies), np.int64, len(bodies))
+                found = marks(np.frombuffer(data, enc.dtype))
+                stops = np.cumsum(sizes)
+                between = np.searchsorted(found, np.r_[0, stops], "right")
+                for k, (doc_id, n, start) in enumerate(zip(part.column(0).to_pylist(), sizes.tolist(), (stops - sizes).tolist(), strict=True)):
+                    ends = ends_of((found[between[k] : between[k + 1]] - start).tolist(), n) if n > LEAST else [n]
+                    addresses, lengths, begin = [], [], 0
                     for e in ends:
-                        piece = body[begin * width : e * width]
+                        piece = data[(start + begin) * width : (start + e) * width]
                         addresses.append(a := address(piece))
+                        lengths.append(e - begin)
                         if a not in given:
                             given.add(a)
                             rows.append(("chunk", a, None, None, e - begin, piece, None))
                         begin = e
-                    rows.append(("recipe", uid.to_bytes(8, "big") + merkle_root(addresses), uid, doc_id, ends[-1], b"".join(addresses), np.diff(ends, prepend=0).astype("<u4").tobytes()))
+                    rows.append(("recipe", uid.to_bytes(8, "big") + merkle_root(addresses), uid, doc_id, n, b"".join(addresses), struct.pack(f"<{len(lengths)}I", *lengths)))
                     uid += 1
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), RAW_ARROW, strict=True)], schema=RAW_ARROW)
