@@ -173,10 +173,9 @@ def _local(table: pa.Table) -> pa.Table:
 
 def links(codes: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Edges (u > v) over distinct codes that connect what links within `limit` bits connect.  codes: column code."""
-    spark = codes.sparkSession
     ranked = codes.select("code", gray_rank("code").alias("rank"))
     n = ranked.count()
-    parts = max(1, -(-n // PART), min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 2000))
+    parts = max(1, -(-n // PART))  # more parts share fewer bits, so more of them are visited by each code
     placed = staged(ranked.repartitionByRange(parts, "rank").select("code", "rank", F.spark_partition_id().alias("part")), "gray")
     roots = placed.groupBy("part").agg(F.bit_and("code").alias("both"), F.bit_or("code").alias("either")).orderBy("part").collect()  # a row a part
     number = np.array([r["part"] for r in roots], np.int64)
