@@ -9,6 +9,10 @@ Only letters count: case is folded and each run of other characters is one blank
 executors, from at most `per_language` documents a language outside the held-out fold; the driver receives one
 vector a language and task.
 
+A gate (keep_known) asks for the cosine that texts of the predicted language reach.  It is set from held-out documents and
+beginnings of them, by the effective number of trigrams: a bundle of few distinct trigrams has a small cosine, whatever
+its language.  Unrelated texts have cosines of about 1 / sqrt(DIMENSIONS).
+
 Edge cases: null texts and texts without letters give `und` with score 0; a null doc_id is never held out and never learned
 from; with no labelled row every text is `und`; ties go to the language that sorts first; repeated rows give
 repeated results; an empty table gives no rows; further columns are not read.
@@ -26,7 +30,12 @@ from pyspark.sql import functions as F
 
 from .runtime import cut, fold, texts
 
-DIMENSIONS, PER_LANGUAGE, PARTS, HELD_OUT = 512, 2000, 4, 2
+DIMENSIONS, PER_LANGUAGE, PARTS, HELD_OUT = 2048, 2000, 4, 2
+#: The gate: held-out documents a language, the lengths of their beginnings, classes of trigram numbers (powers of two),
+#: the quantile that counts, the share of it that is asked for, and the fewest scores a class is set from.
+CALIBRATED, BEGINNINGS, CLASSES, QUANTILE, SHARE, FEWEST = 500, [8 << k for k in range(10)], 16, 0.005, 0.8, 20
+#: Elements of bound trigrams held at a time, and rows of vectors.
+BOUND, ROWS = 1 << 24, 1000
 #: Characters looked at in one step; longer texts are taken in segments that overlap by two.
 SEGMENT = 1_000_000
 UNKNOWN = "und"
@@ -95,7 +104,7 @@ def profiles(batch: list[str | None], dimensions: int = DIMENSIONS) -> tuple[np.
             counts = np.zeros((len(owners), dimensions), np.float32)
             table = np.stack([letter_vector(int(c), dimensions) for c in kinds])
             first, second = np.roll(table, 2, 1), np.roll(table, 1, 1)
-            per = max(1, 4_000_000 // max(1, len(owners)))  # trigrams bound at a time
+            per = max(1, min(4_000_000 // max(1, len(owners)), BOUND // dimensions))  # trigrams bound at a time
             pair = row_of[row].astype(np.int64)
             for g in range(0, len(grams), per):
                 part = grams[g : g + per]
@@ -142,14 +151,64 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int = D
     return langs, _unit(np.stack([sums[x] for x in langs])).astype(np.float32) if langs else np.zeros((0, dimensions), np.float32)
 
 
+def effective(vectors: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """n squared over the sum of squared trigram counts, which a bundle's squared length tells: repeats hardly add."""
+    squares = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64) / max(1, vectors.shape[1])
+    return np.where(n > 0, n.astype(np.float64) ** 2 / np.maximum(squares, 1e-9), 0)
+
+
+def _classes(size: np.ndarray) -> np.ndarray:
+    return np.clip(np.log2(np.maximum(size, 1)).astype(int), 0, CLASSES - 1)
+
+
+def _nearest(batch: list[str | None], prototypes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(nearest prototypes, cosines, numbers of trigrams, their classes) of texts."""
+    best, score, count, kind = [np.zeros(0, int)], [np.zeros(0)], [np.zeros(0, int)], [np.zeros(0, int)]
+    for i in range(0, len(batch), ROWS):
+        vectors, n = profiles(batch[i : i + ROWS], prototypes.shape[1])
+        kind.append(_classes(effective(vectors, n)))
+        cosine = _unit(vectors) @ prototypes.T
+        best.append(cosine.argmax(1))
+        score.append(np.where(n > 0, np.clip(cosine.max(1), 0, 1), 0).astype(float))
+        count.append(n)
+    return np.concatenate(best), np.concatenate(score), np.concatenate(count), np.concatenate(kind)
+
+
 def predict(batch: list[str | None], langs: list[str], prototypes: np.ndarray) -> tuple[list[str], np.ndarray]:
     """(languages, scores from 0 to 1) of texts."""
-    vectors, n = profiles(batch, prototypes.shape[1])
     if not langs:
         return [UNKNOWN] * len(batch), np.zeros(len(batch))
-    cosine = _unit(vectors) @ prototypes.T
-    best = cosine.argmax(1)
-    return [langs[k] if m else UNKNOWN for k, m in zip(best, n, strict=True)], np.where(n > 0, np.clip(cosine[np.arange(len(batch)), best], 0, 1), 0).astype(float)
+    best, score, n, _ = _nearest(batch, prototypes)
+    return [langs[k] if m else UNKNOWN for k, m in zip(best, n, strict=True)], score
+
+
+def calibrate(docs: DataFrame, langs: list[str], prototypes: np.ndarray, least: float) -> np.ndarray:
+    """Least cosines by language and class of trigram number, from held-out documents and their beginnings.
+
+    A class with few scores takes the next smaller class's; a language without any takes the lowest of the others.
+    """
+    gates = np.full((len(langs), CLASSES), np.nan)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isin(langs) & (fold("doc_id", PARTS) == HELD_OUT))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.lit(False)
+    for lang, n in counts.items():
+        share = share | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, CALIBRATED / n))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in cut(batch):
+                parts = [(x[:n], g) for x, g in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if x for n in [*[k for k in BEGINNINGS if k < len(x)], len(x)]]
+                _, score, n, kind = _nearest([x for x, _ in parts], prototypes)
+                there = np.flatnonzero(n > 0)
+                yield pa.RecordBatch.from_arrays([pa.array([parts[i][1] for i in there], pa.string()), pa.array(kind[there], pa.int32()), pa.array(score[there])], ["lang", "kind", "score"])
+
+    scores = rows.where(share).select("text", "lang").mapInArrow(run, "lang string, kind int, score double")
+    for r in scores.groupBy("lang", "kind").agg(F.count(F.lit(1)).alias("n"), F.percentile("score", F.lit(QUANTILE)).alias("low")).where(F.col("n") >= FEWEST).collect():
+        gates[langs.index(r["lang"]), r["kind"]] = SHARE * r["low"]
+    known = ~np.isnan(gates).all(1)
+    gates = np.maximum.accumulate(np.nan_to_num(gates, nan=0.0), axis=1)
+    gates[~known] = gates[known].min(0) if known.any() else 0
+    return np.maximum(gates, least)
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int = DIMENSIONS) -> DataFrame:
@@ -167,14 +226,16 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int
 
 
 def keep_known(docs: DataFrame, least: float, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows of docs, all columns, whose text has a language with a score of at least `least`."""
+    """The rows of docs, all columns, whose text has a language with a score of at least the gate, which is `least` or more."""
     langs, prototypes = learn(docs, per_language)
+    gates = calibrate(docs, langs, prototypes, least) if langs else None
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in cut(batch):
-                lang, score = predict(part.column(place).to_pylist(), langs, prototypes)
-                yield part.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_()))
+                if langs:
+                    best, score, n, kind = _nearest(part.column(place).to_pylist(), prototypes)
+                    yield part.filter(pa.array((n > 0) & (score >= gates[best, kind])))
 
     return docs.mapInArrow(run, docs.schema)

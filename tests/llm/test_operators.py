@@ -315,6 +315,22 @@ def test_profiles_are_bundles_of_bound_letters(monkeypatch):
     assert np.allclose(whole, parts, atol=whole.max() * 0.1)
 
 
+def test_language_gate_rejects_what_was_not_learned(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    r = np.random.default_rng(3)
+    made = lambda letters, words: " ".join("".join(r.choice(list(letters), int(r.integers(2, 9)))) for _ in range(words))
+    alphabets = {"cyrillic": "абвгдежзийклмнопрстуфхцчшщыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "han": [chr(0x4E00 + 7 * k) for k in range(600)], "latin": "abcdefghijklmnopqrstuvwxyz", "a-f": "abcdef"}
+    odd = [(-1 - i, made(a, w), None) for i, (a, w) in enumerate((a, w) for a in alphabets.values() for w in (60, 300) for _ in range(25))]
+    short = [(10**9 + i, t, None) for i, t in enumerate(["the man and the other", "que la de los en el", "und der die das ist", "les et des pour que la"])]
+    out = {x["doc_id"] for x in langid.keep_known(docs.unionByName(spark.createDataFrame(odd + short, docs.schema)), corpus_pipeline.LEAST_COSINE).collect()}
+    assert sum(i in out for i, _, _ in odd) <= 0.02 * len(odd)
+    assert all(i in out for i, _, _ in short)
+    lettered = {x["doc_id"] for x in docs.collect() if any(c.isalpha() for c in x["text"] or "")}
+    assert len(lettered & out) >= 0.99 * len(lettered)
+
+
 # 8
 
 
