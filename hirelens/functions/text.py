@@ -120,8 +120,22 @@ def loose(c: Column) -> Column:
 
 
 def bullet_key(c: Column) -> Column:
-    """T18."""
-    return F.lower(F.regexp_replace(c, r"(?U)[\s\W_]+", ""))
+    """Without the bullet in front (an o only before white space), white space and punctuation; lower case."""
+    return F.lower(F.regexp_replace(F.regexp_replace(c, r"(?U)^\s*(?:[•·※*▪◦∙・\-]+|o(?=\s))\s*", ""), r"(?U)[\s\W_]+", ""))
+
+
+def cleaned(a: Column) -> Column:
+    """Squeezed items that say something, each once."""
+    return F.array_distinct(F.filter(F.transform(F.coalesce(a, F.array().cast("array<string>")), squeeze), lambda x: x.isNotNull() & (bullet_key(x) != "")))
+
+
+def add_missing(c: Column, items_: Column) -> Column:
+    """A text and, as bullets, the items that no line of it and no item added before holds."""
+    found, base = cleaned(items_), strip_u(F.coalesce(c, F.lit("")))
+    lines = F.transform(F.split(base, "\n"), bullet_key)
+    added = F.aggregate(found, F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(lines, lambda y: y.contains(bullet_key(x))) | F.exists(acc, lambda y: bullet_key(y).contains(bullet_key(x))), acc).otherwise(F.array_append(acc, x)))
+    tail = F.array_join(F.transform(added, lambda x: F.concat(F.lit("• "), x)), "\n")
+    return F.when(F.size(found) == 0, c).when(F.size(added) == 0, base).when(base == "", tail).otherwise(F.concat(base, F.lit("\n"), tail))
 
 
 def spoken(seconds: Column) -> Column:

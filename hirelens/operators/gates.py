@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import BANNED, Rule, contexts, core_words, hits, words
-from ..functions.text import company_key, is_blank, items, joined, strip_u
+from ..functions.text import add_missing, cleaned, company_key, distinct_ci, is_blank, items, joined, split_names, strip_u
 from ..schema import CAREER, COLUMNS, COMPANY, ORD, PREF, RATING, REQ, SITE, TECH, TITLE, URL
 from .dedup import dedup
+from .skills import Matcher
 
 COMMON = [COMPANY, TITLE, SITE, URL]
 # Marks of career and role wording, verdicts, and the least rating that stays.
@@ -212,17 +213,26 @@ def image_parts(c: Column) -> Column:
     return F.filter(items(c), lambda x: x.startswith("http"))
 
 
-def image_fill(postings: DataFrame, reads: DataFrame) -> Gate:
+def image_fill(postings: DataFrame, reads: DataFrame, matcher: Matcher | None = None) -> Gate:
     """Q7: rows whose technologies hold image addresses take what was read from the images.
 
-    reads: key (the addresses joined by blanks), tech (array).  Unread rows are left for another run.
+    reads: key (the addresses joined by blanks), tech, req, pref (arrays; an absent column was not read).  A row goes only
+    if all three are empty; unread rows are left for another run.  Of the read names those the matcher knows are taken,
+    and all of them without a matcher.
     """
-    from ..functions.text import distinct_ci
-
+    none = F.array().cast("array<string>")
     m = postings.withColumn("key", F.array_join(image_parts(F.col(TECH)), " "))
-    m = m.join(reads.select("key", F.col("tech").alias("read")), "key", "left")
-    own = F.filter(items(F.col(TECH)), lambda x: ~x.startswith("http"))
+    read = {c: cleaned(F.flatten(F.transform(F.array_compact(F.col(c)), split_names)) if c == "tech" else F.col(c)) if c in reads.columns else none for c in ("tech", "req", "pref")}
+    m = m.join(reads.select("key", F.struct(*[v.alias(c) for c, v in read.items()]).alias("read")), "key", "left")
     has = F.col("key") != ""
-    out = has & (F.col("read").isNull() | (F.size("read") == 0))
-    filled = F.when(has, F.array_join(distinct_ci(F.concat(own, F.coalesce("read", F.array().cast("array<string>")))), ", ")).otherwise(F.col(TECH))
-    return Gate(m.where(~out).withColumn(TECH, filled).select(*COLUMNS, ORD), _report(m.where(out), F.when(F.col("read").isNull(), "이미지 못 읽음").otherwise("이미지에 없음"), images=F.col("key")))
+    empty = (F.size("read.tech") == 0) & (F.size("read.req") == 0) & (F.size("read.pref") == 0)
+    out = has & (F.col("read").isNull() | empty)
+    own = F.filter(cleaned(F.split(F.col(TECH), ",")), lambda x: ~x.startswith("http"))
+    names = matcher.keep_known(F.col("read.tech")) if matcher else distinct_ci(F.col("read.tech"))
+    new = F.filter(names, lambda x: ~F.exists(own, lambda y: F.lower(y) == F.lower(x)))
+    filled = {
+        TECH: F.when(has, F.array_join(F.concat(own, new), ", ")).otherwise(F.col(TECH)),
+        REQ: F.when(has, add_missing(F.col(REQ), F.col("read.req"))).otherwise(F.col(REQ)),
+        PREF: F.when(has, add_missing(F.col(PREF), F.col("read.pref"))).otherwise(F.col(PREF)),
+    }
+    return Gate(m.where(~out).withColumns(filled).select(*COLUMNS, ORD), _report(m.where(out), F.when(F.col("read").isNull(), "이미지 못 읽음").otherwise("이미지에 없음"), images=F.col("key")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..operators import analytics, gates
 from ..operators.merge import dropped_union
+from ..operators.skills import Matcher
 
 
 @dataclass
@@ -18,6 +19,7 @@ class Context:
     core: list[str] = field(default_factory=list)
     ratings: DataFrame | None = None
     reads: DataFrame | None = None
+    matcher: Matcher | None = None
     bodies: DataFrame | None = None
     role_verdicts: DataFrame | None = None
     nuance_verdicts: DataFrame | None = None
@@ -36,7 +38,7 @@ class Result:
 def run(postings: DataFrame, ctx: Context) -> Result:
     """Every dropped row is in the report with its stage; a gate without its side table is passed over (None in the funnel)."""
     steps = {
-        "image": (ctx.reads is not None, lambda p: gates.image_fill(p, ctx.reads)),
+        "image": (ctx.reads is not None, lambda p: gates.image_fill(p, ctx.reads, ctx.matcher)),
         "role": (ctx.role_verdicts is not None and ctx.bodies is not None, lambda p: gates.role(p, ctx.role_verdicts, ctx.bodies)),
         "filter": (True, lambda p: gates.screen(p, ctx.excluded, ctx.title)),
         "nuance": (ctx.nuance_verdicts is not None, lambda p: gates.nuance(p, ctx.nuance_verdicts, ctx.nuance_candidate)),

@@ -252,8 +252,8 @@ def image_rows(spark, d):
 
 @query("SELECT url, CASE WHEN tech LIKE '%https://%' THEN 'Go, Docker' ELSE tech END AS tech FROM p")
 def image_fill_apply(spark, d):
-    reads = spark.createDataFrame([("https://img/a.png", ["go", "Docker"])], "key string, tech array<string>")
-    return renamed(gates.image_fill(postings(spark, d), reads).kept, "url", "tech")
+    reads = spark.createDataFrame([("https://img/a.png", ["go(Docker)", "no such name"], ["Licensed"], [])], "key string, tech array<string>, req array<string>, pref array<string>")
+    return renamed(gates.image_fill(postings(spark, d), reads, skills.Matcher(["Go", "Docker"])).kept, "url", "tech")
 
 
 @query("SELECT url, md5(CASE WHEN ord % 2 = 0 AND trim(pref) <> '' THEN substring(trim(pref, E' \\n'), 1, 50000) ELSE substring(trim(req, E' \\n'), 1, 50000) END) AS body FROM p WHERE trim(req) <> '' OR (ord % 2 = 0 AND trim(pref) <> '')")

@@ -162,6 +162,15 @@ def test_image_fill(spark):
     assert {r[URL]: r[TECH] for r in g.kept.collect()} == {"u0": "Go, Rust", "u3": "Java"} and g.report.count() == 2
 
 
+def test_image_fill_takes_requirements_and_preferences(spark):
+    p = rows(spark, {"tech": "C++, http://i/1", "req": " - oracle 경험\n학사 "}, {"tech": "http://i/2", "pref": "Docker 우대"}, {"tech": "http://i/3"}, {"tech": "http://i/4"})
+    given = [("http://i/1", ["AWS(ECS, 없는 이름)", "c++", "aws"], ["o oracle  경험", "3년 이상", "3년이상", "•"], None), ("http://i/2", None, None, ["docker", "영어 · 일어"]), ("http://i/3", [], ["•"], [" "])]
+    g = gates.image_fill(p, spark.createDataFrame(given, "key string, tech array<string>, req array<string>, pref array<string>"), skills.Matcher(["C", "C++", "AWS", "ECS"]))
+    out = {r[URL]: (r[TECH], r[REQ], r[PREF]) for r in g.kept.collect()}
+    assert out == {"u0": ("C++, AWS, ECS", "- oracle 경험\n학사\n• 3년 이상", ""), "u1": ("", "", "Docker 우대\n• 영어 · 일어")}
+    assert {r[URL]: r["verdict"] for r in g.report.collect()} == {"u2": "이미지에 없음", "u3": "이미지 못 읽음"}
+
+
 def test_matcher():
     m = skills.Matcher(["Java", "Spring Boot", "Spring", "C", "C++", "Docker"], {"k8s": "Kubernetes", "도커": "Docker"}, {"Docker"}, {"부하 테스트": "부하 테스트"})
     assert m.find("Spring Boot, java17과 C++, k8s, docker 부하 테스트를") == ["Spring Boot", "Java", "C++", "Kubernetes", "부하 테스트"]
