@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import markup, rules, text
 from ..operators import analytics as an
 from ..operators import dedup, gates, lookups, merge, sections, sites, skills
-from ..schema import CAREER, COMPANY, FIRST, LAST, ORD, PREF, REQ, SITE, SITES, TECH, TITLE, URL
+from ..schema import CAREER, COMPANY, FIRST, LAST, ORD, PREF, REQ, SALARY, SITE, SITES, TECH, TITLE, URL
 from ..sources.files import gather_bodies
 from ..streaming import history
 from . import pipeline
@@ -93,6 +93,25 @@ def upsert_counters(spark, d):
     return merge.counters(_upsert(spark, d))
 
 
+def _upsert_all(spark, d):
+    p = postings(spark, d)
+    return merge.upsert(p.where(F.col(ORD) % 3 != 0), p.where((F.col(ORD) % 2 == 0) | (F.col(ORD) % 3 == 0)), TODAY)
+
+
+#: Both sides together hold every posting.
+UPSERT_ALL = UPSERT.replace("WHERE ord % 2 = 0", "WHERE ord % 2 = 0 OR ord % 3 = 0")
+
+
+@query(UPSERT_ALL + " SELECT url, first_seen, last_seen, state FROM e WHERE NOT expired")
+def upsert_retention_all(spark, d):
+    return _upsert_all(spark, d).where("NOT expired").select(F.col(URL).alias("url"), F.col(FIRST).alias("first_seen"), F.col(LAST).alias("last_seen"), "state")
+
+
+@query(UPSERT_ALL + " SELECT count(*) FILTER (state = 'added') AS added, count(*) FILTER (state = 'updated') AS updated, count(*) FILTER (state = 'unseen') AS unseen, count(*) FILTER (expired) AS expired, CAST(0 AS BIGINT) AS undated FROM e")
+def upsert_counters_all(spark, d):
+    return merge.counters(_upsert_all(spark, d))
+
+
 @query("SELECT url, CASE WHEN ord % 2 = 0 THEN '2026-01-01' ELSE first_seen END AS first_seen FROM p")
 def revive_first_seen(spark, d):
     p = postings(spark, d)
@@ -146,9 +165,14 @@ def career_closed(spark, d):
     return postings(spark, d).select(F.col(URL).alias("url"), gates.closed_to_newbie(F.col(CAREER)).alias("closed"))
 
 
+def _with_salary_line(p: DataFrame) -> DataFrame:
+    """The salary, as a line that asks for years, after the whole requirements text."""
+    return p.withColumn(REQ, F.concat_ws("\n", REQ, F.regexp_replace(SALARY, "만원", "년")))
+
+
 @query("SELECT url FROM p WHERE regexp_matches(replace(career, ' ', ''), '^(신입|경력무관)') AND regexp_matches(career || chr(10) || salary, '\\d+\\s*만')")
 def career_contradiction_candidates(spark, d):
-    p = postings(spark, d).withColumn(REQ, F.concat(F.regexp_replace("연봉", "만원", "년"), F.lit("")))
+    p = _with_salary_line(postings(spark, d))
     return renamed(p.where(gates.career_candidate()), "url")
 
 
@@ -188,7 +212,7 @@ def role_gate_apply(spark, d):
 
 @query("SELECT url FROM p LEFT JOIN labels l ON p.ord = l.doc_id WHERE NOT coalesce(l.toxic = 1 AND regexp_matches(replace(career, ' ', ''), '^(신입|경력무관)') AND salary <> '', false)")
 def career_gate_apply(spark, d):
-    p = postings(spark, d).withColumn(REQ, F.regexp_replace("연봉", "만원", "년"))
+    p = _with_salary_line(postings(spark, d))
     v = _verdicts(spark, d, F.lit(2).alias("rules_version"), (F.col("toxic") == 1).alias("contradiction"), F.lit("").alias("basis"))
     return renamed(gates.career(p, v).kept, "url")
 
@@ -202,6 +226,14 @@ def nuance_propagation(spark, d):
     return renamed(gates.nuance(p, v, F.col(ORD) % 3 != 0).report, "url", "verdict")
 
 
+@query(f""", c AS (SELECT p.*, {KEY} AS k, l.doc_id IS NOT NULL AS judged, l.toxic = 1 AS firm, l.quality = 0 AS onsite FROM p LEFT JOIN labels l ON p.ord = l.doc_id),
+s AS (SELECT k, bool_or(coalesce(judged AND firm, false)) AS hot FROM c GROUP BY k)
+SELECT url, CASE WHEN judged AND (coalesce(firm, false) OR (hot AND k <> '') OR coalesce(onsite, false)) THEN '제외' ELSE '유지' END AS verdict FROM c JOIN s USING (k)""")
+def nuance_propagation_all(spark, d):
+    v = _verdicts(spark, d, F.lit(4).alias("rules_version"), (F.col("toxic") == 1).alias("firm"), (F.col("quality") == 0).alias("onsite"), F.lit(False).alias("military"), F.lit(False).alias("headhunt"), F.lit("").alias("basis"))
+    return renamed(gates.nuance(postings(spark, d), v, F.lit(True)).report, "url", "verdict")
+
+
 RATED = "r AS (SELECT DISTINCT {k} AS k, CAST(strlen({k}) * 7 % 10 AS DOUBLE) / 2 AS rating FROM p WHERE {k} <> 'fr')".format(k=KEY)
 
 

@@ -113,6 +113,16 @@ def test_upsert_retention_border(spark):
     assert "a" in {r[URL] for r in merge.merge(old, new, "no date").collect()}
 
 
+def test_queries_run_over_all_postings(spark, monkeypatch):
+    n = view.postings(spark, SF).count()
+    out = queries.QUERIES["upsert_counters_all"](spark, SF).first()
+    assert out["added"] + out["updated"] + out["unseen"] == n
+    assert queries.QUERIES["nuance_propagation_all"](spark, SF).count() == n
+    asks = rows(spark, {"career": "신입", "req": "학사\n3년 이상"}, {"career": "신입", "req": "학사", "salary": "3000만원"}, {"career": "신입", "req": "학사"})
+    monkeypatch.setattr(queries, "postings", lambda spark, d: asks)
+    assert {r["url"] for r in queries.QUERIES["career_contradiction_candidates"](spark, SF).collect()} == {"u0", "u1"}
+
+
 @pytest.mark.parametrize(("career", "closed"), [("경력 3년", "경력 3년"), ("신입 / 경력 3년", None), ("경력 3년 / 신입", None), ("", None), ("정규직, 5년 이상", "5년 이상"), ("무관", None)])
 def test_closed_career(spark, career, closed):
     assert one(spark, gates.closed_to_newbie, career) == closed
