@@ -1,4 +1,4 @@
-"""Rows of the posting relation from site payloads, and their field rules."""
+"""Rows of the posting relation from site payloads, and their field rules (row builders P1 and P5, the row rule P11; field rules M1-M11, S7-S14)."""
 
 from __future__ import annotations
 
