@@ -7,8 +7,8 @@ k + 1 vectors nearest the pivot.  Queries of one cell have a radius u about its
     q.s >= p.o - u|o| - (|p| + u)|s - o|        q.s <= min(p.s + u|s|,  p.o + u|o| + (|p| + u)|s - o|)
 
 The summaries' lower bounds give a score that the k-th best of each query of the cell reaches; a vector is
-replicated only to groups of cells in which its upper bound reaches that score of some cell.  Each (group, salt) is
-solved on its own by matrix products, and the partial results are ranked.  Groups hold at most GROUP queries, so a
+replicated only to groups of cells in which its upper bound reaches that score of some cell.  Each (group, salt, block) is
+solved on its own by matrix products, and the partial results are ranked.  A block holds about GROUP queries, so a
 cell with a third of them is split; salts split a group's data.
 
 Exactness: scores are integers, products run in a float type that holds them exactly, or in int64.
@@ -140,7 +140,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, pivots: in
     salts = max(math.ceil(facts["n"] / CHUNK), math.ceil(2 * spark.sparkContext.defaultParallelism / len(groups)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A vector goes once to each group some cell of which may need it."""
+        """A vector goes once to each block of each group some cell of which may need it."""
         asking = np.array(sorted(asked))
         for b in batches:
             x, cell, far = _matrix(b.column(2).to_pylist(), width, np.float64), b.column(3).to_numpy(), b.column(4).to_numpy()
@@ -154,10 +154,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, pivots: in
                 salt = uid[rows] % salts
                 for s in np.unique(salt):
                     own = rows[salt == s]
-                    yield pa.RecordBatch.from_arrays([pa.array([g]), pa.array([int(s)]), pa.array([uid[own].astype("<i8").tobytes()]), pa.array([vec[own].astype("<i8").tobytes()]), pa.array([b"".join(v.take(pa.array(own)).to_pylist())], pa.binary())] if all_equal else [pa.array([g]), pa.array([int(s)]), pa.array([uid[own].astype("<i8").tobytes()]), pa.array([vec[own].astype("<i8").tobytes()]), pa.array([x[own].astype("<i8").tobytes()], pa.binary())], ["group", "salt", "uids", "ids", "v"])
+                    rows_of = v.take(pa.array(own)).to_pylist() if all_equal else [x[own].astype("<i8").tobytes()]
+                    held = [pa.array([y], pa.binary()) for y in (uid[own].astype("<i8").tobytes(), vec[own].astype("<i8").tobytes(), b"".join(rows_of))]
+                    for block in range(int(blocks[groups[g][0]])):  # only a cell alone in its group is split
+                        yield pa.RecordBatch.from_arrays([pa.array([g]), pa.array([int(s)]), pa.array([block]), *held], ["group", "salt", "block", "uids", "ids", "v"])
 
     all_equal = whole.where(F.col("width") != width).isEmpty()
-    data = placed.select("uid", "vec_id", "v", "cell", "far").mapInArrow(deal, "group long, salt long, uids binary, ids binary, v binary")
+    data = placed.select("uid", "vec_id", "v", "cell", "far").mapInArrow(deal, "group long, salt long, block long, uids binary, ids binary, v binary")
     of_cell = spark.createDataFrame([(c, int(group_of[c]), int(blocks[c])) for c in sorted(asked)], "cell long, group long, blocks long")  # a row a cell
     queries = (
         placed.where("is_query")
@@ -205,6 +208,6 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, pivots: in
             return empty
         return pa.table(dict(zip(empty.schema.names, (pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)), strict=True)))
 
-    partial = data.groupBy("group", "salt").cogroup(queries.groupBy("group", "salt")).applyInArrow(solve, "query_uid long, query_id long, vec_id long, uid long, score long")
+    partial = data.groupBy("group", "salt", "block").cogroup(queries.groupBy("group", "salt", "block")).applyInArrow(solve, "query_uid long, query_id long, vec_id long, uid long, score long")
     rank = Window.partitionBy("query_uid").orderBy(F.col("score").desc(), "vec_id", "uid")
     return partial.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -71,6 +71,17 @@ def test_top_k_is_exact(spark, seed):
     assert got == brute_top(rows)
 
 
+def test_top_k_splits_the_queries_of_a_hot_cell(spark, monkeypatch):
+    monkeypatch.setattr(voronoi, "GROUP", 8)
+    r = np.random.default_rng(4)
+    rows = [(i, (r.normal(size=8) + 20).tolist()) for i in range(0, 4000, 10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = voronoi.top_k(df, F.col("vec_id") % 50 == 0, pivots=2)
+    assert sorted(tuple(x) for x in top.collect()) == brute_top(rows)
+    keys = [x for x in top._jdf.queryExecution().analyzed().toString().splitlines() if "FlatMapCoGroupsInArrow" in x]
+    assert keys and all(x.count("block#") == 2 for x in keys)
+
+
 def test_top_k_clusters_prune_and_stay_exact(spark):
     r = np.random.default_rng(5)
     centre = r.normal(size=(6, 16)) * 20
