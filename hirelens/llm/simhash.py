@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .runtime import cut, staged, texts
 
@@ -217,44 +217,49 @@ def components(edges: DataFrame) -> DataFrame:
     return e
 
 
-def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits), component_id of every row."""
+def _rooted(docs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and code of every row, root and smallest doc_id of the component of every code)."""
     marked = staged(fingerprints(docs), "simhash")
     codes = staged(marked.groupBy("code").agg(F.min("doc_id").alias("least")), "codes")
     joined = components(links(codes.select("code"), limit))
     root = codes.join(joined.withColumnRenamed("u", "code"), "code", "left").select("code", "least", F.coalesce("v", "code").alias("root"))
     named = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    table = root.join(named, "root").select("code", "component_id")
+    return marked, root.join(named, "root").select("code", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits), component_id of every row."""
+    marked, table = _rooted(docs, limit)
     return marked.join(table, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """The rows of docs, all columns, less those of a component other than its smallest doc_id's.
+    """One row of docs, all columns, for each component: the one of the smallest doc_id, or if it has none any one.
 
-    Rows without a doc_id stay only if their component has none with one; of rows that repeat the kept doc_id one stays.
+    A doc_id names a row where it occurs once.  Where it repeats or is null, doc_id and fingerprint name the row, and of rows
+    alike in both one stays.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])  # so that nothing below can clash
     own_id, text = F.col(f"c{names.index('doc_id')}").cast("long"), f"c{names.index('text')}"
-    found = near_duplicates(docs, limit)
-    ids = found.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.count(F.lit(1)).alias("rows"))
-    with_id = plain.join(ids.select("component_id"), own_id == F.col("component_id"), "left_semi")
-    repeated = ids.where("rows > 1").select("component_id")
-    if not repeated.isEmpty():
-        first = Window.partitionBy(own_id).orderBy(F.xxhash64(*[c for c, t in plain.dtypes if not t.startswith("map")]))
-        many = with_id.join(repeated, own_id == F.col("component_id"), "left_semi").withColumn("place", F.row_number().over(first)).where("place = 1").drop("place")
-        with_id = with_id.join(repeated, own_id == F.col("component_id"), "left_anti").unionByName(many)
-    nulls = plain.where(own_id.isNull())
-    if nulls.isEmpty():
-        return with_id.toDF(*names)
+    marked, table = _rooted(docs, limit)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "code")).alias("first")
+    kept = staged(marked.join(table, "code").groupBy("root").agg(first).select("first.doc_id", "first.code"), "kept")
+    repeated = staged(marked.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    out = plain.join(kept.join(repeated, "doc_id", "left_anti").select("doc_id"), own_id == F.col("doc_id"), "left_semi")
+    nameless = kept.join(repeated, "doc_id", "left_semi").unionByName(kept.where(F.col("doc_id").isNull()))
+    if nameless.isEmpty():
+        return out.toDF(*names)
     place = plain.columns.index(text)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([f"{fingerprint(t):016x}" for t in b.column(place).to_pylist()], pa.string())], [*b.schema.names, "own_code"])
-
-    codes = found.where(F.col("component_id").isNull()).select("fingerprint").distinct()
-    first = Window.partitionBy("own_code").orderBy(text)
-    marked = nulls.mapInArrow(mark, StructType([*plain.schema.fields, StructField("own_code", StringType())]))
-    alone = marked.withColumn("place", F.row_number().over(first)).where("place = 1").drop("place").join(codes, F.col("own_code") == F.col("fingerprint"), "left_semi").drop("own_code")
-    return with_id.unionByName(alone).toDF(*names)
+            codes = np.fromiter((fingerprint(t) for t in b.column(place).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes.view(np.int64))], [*b.schema.names, "own_code"])
+
+    unclear = plain.join(repeated, own_id == F.col("doc_id"), "left_semi").unionByName(plain.where(own_id.isNull()))
+    coded = unclear.mapInArrow(mark, StructType([*plain.schema.fields, StructField("own_code", LongType())]))
+    hit = coded.join(nameless, own_id.eqNullSafe(F.col("doc_id")) & (F.col("own_code") == F.col("code")), "left_semi").withColumn("own_id", own_id)
+    one = Window.partitionBy("own_id", "own_code").orderBy(F.xxhash64(*[c for c, t in plain.dtypes if not t.startswith("map")]))
+    chosen = hit.withColumn("place", F.row_number().over(one)).where("place = 1").select(*plain.columns)
+    return out.unionByName(chosen).toDF(*names)

@@ -267,6 +267,17 @@ def test_keep_one_keeps_columns_and_one_row(odd):
     assert ids.count(12) == 1 and 13 not in ids and ids.count(0) == 1 and ids.count(None) == 1
 
 
+def test_keep_one_with_repeated_and_null_ids(spark):
+    word = lambda k: " ".join(hashlib.md5(f"{k} {i}".encode()).hexdigest()[:6] for i in range(200))
+    a, b, c, d = (word(k) for k in "abcd")
+    near = next(t for t in (f"{c} {k}" for k in range(500)) if 0 < (brute_fingerprint(t) ^ brute_fingerprint(c)).bit_count() <= simhash.LIMIT)
+    assert len(set(brute_components([brute_fingerprint(t) for t in (a, b, c, d, near)], [0, 1, 2, 3, 4]).values())) == 4
+    got = simhash.keep_one(docs_of(spark, [(3, a, "x"), (5, a, "x"), (5, b, "x"), (7, d, "x"), (7, d, "x"), (None, c, "x"), (None, near, "x"), (None, c, "x"), (None, d, "x")])).collect()
+    kept = [(r["doc_id"], r["text"]) for r in got]
+    assert len(kept) == 4 and {(3, a), (5, b), (7, d)} < set(kept)
+    assert [t in (c, near) for i, t in kept if i is None] == [True]
+
+
 # 6
 
 
