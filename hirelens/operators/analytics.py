@@ -1,4 +1,4 @@
-"""Analytics over kept postings: tiers, companions, lift, families, depth, funnel, facets (AN1-AN7, A1-A13, F21, O4)."""
+"""Analytics over kept postings: tiers, companions, lift, families, depth, facets (AN1-AN7, A1-A13, F21, O4)."""
 
 from __future__ import annotations
 
@@ -64,13 +64,9 @@ def denominators(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(F.when(F.trim(F.col(c)) != "", 1)).alias(f"n_{k}") for k, c in columns.items()])
 
 
-def funnel(stages: dict[str, DataFrame | None]) -> DataFrame:
-    """A3: rows of each stage, null for a stage that hasn't run."""
-    out = None
-    for k, (name, df) in enumerate(stages.items()):
-        one = (df.agg(F.count(F.lit(1)).alias("n")) if df is not None else next(d for d in stages.values() if d is not None).limit(0).agg(F.lit(None).cast("long").alias("n"))).select(F.lit(k).alias("pos"), F.lit(name).alias("stage"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+def distinct_sites(df: DataFrame, site: str = "site") -> DataFrame:
+    """A7."""
+    return df.select(site).distinct().orderBy(site)
 
 
 def coverage(df: DataFrame, flag: Column) -> DataFrame:

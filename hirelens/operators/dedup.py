@@ -14,40 +14,49 @@ def weight() -> Column:
     return F.length(REQ) + F.length(PREF) + F.length(TECH)
 
 
-def grouped(postings: DataFrame, title: Column | None = None) -> DataFrame:
-    """postings with their keys, the size and first place of their group, and whether a site repeats in it.
-
-    One shuffle by key serves every window below.
-    """
+def keyed(postings: DataFrame, title: Column | None = None, alive: Column | None = None) -> DataFrame:
+    """D3: postings with k1, k2 (company and title keys) and grouped: whether the row takes part in grouping at all."""
     t = title if title is not None else title_key(F.col(TITLE))
-    keyed = postings.withColumns({"k1": company_key(F.col(COMPANY)), "k2": t})
-    # Rows without both keys never merge; each is its own group, which also keeps them from one task.
-    keyed = keyed.withColumn("k3", F.when((F.col("k1") == "") & (F.col("k2") == ""), F.col(ORD)).otherwise(F.lit(-1)))
-    w = Window.partitionBy("k1", "k2", "k3")
-    best = w.orderBy(F.col("weight").desc(), F.col(ORD))
-    return (
-        keyed.withColumn("weight", weight())
-        .withColumns({"members": F.count(F.lit(1)).over(w), "sites": F.size(F.collect_set(SITE).over(w)), "place": F.min(ORD).over(w), "rank": F.row_number().over(best), "survivor_url": F.first(URL).over(best)})
-        .withColumn("merges", (F.col("members") > 1) & (F.col("members") == F.col("sites")))
-    )
+    k = postings.withColumns({"k1": F.coalesce(company_key(F.col(COMPANY)), F.lit("")), "k2": F.coalesce(t, F.lit(""))})
+    return k.withColumn("grouped", (alive if alive is not None else F.lit(True)) & ((F.col("k1") != "") | (F.col("k2") != "")))
 
 
-def dedup(postings: DataFrame, title: Column | None = None, fill: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped).  A group merges unless a site repeats in it; the heaviest row survives, the first of ties.
+def marked(postings: DataFrame, title: Column | None = None, fill: bool = True, alive: Column | None = None) -> DataFrame:
+    """Every posting with survivor_url (null: it stays) and, where it survives a merge, what the group gives it.
 
-    The survivor takes what it lacks from the first other row that has it, and the widest dates.  kept stands at
-    its group's first place; dropped names the survivor.
+    A group merges unless a site repeats in it.  Which groups merge is found on the keys and the site alone, with partial
+    aggregates, so a company and title that a third of all rows share costs one row a task.  Merging groups have at most
+    one row a site; all other rows are spread by their order, so no window holds a hot key.  Rows that are not alive
+    stay as they are.  ORD must be unique.
     """
-    g = grouped(postings, title)
+    k = keyed(postings, title, alive)
+    sizes = k.where("grouped").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("members"), F.count_distinct(SITE).alias("sites"))
+    merging = sizes.where((F.col("members") > 1) & (F.col("members") == F.col("sites"))).select("k1", "k2", F.lit(True).alias("merges"))
+    m = k.join(merging, ["k1", "k2"], "left").withColumn("merges", F.coalesce("merges", F.lit(False)) & F.col("grouped"))
+    m = m.withColumn("k3", F.when(F.col("merges"), F.lit(-1).cast("long")).otherwise(F.col(ORD)))
+    w = Window.partitionBy("k1", "k2", "k3")
+    heaviest = F.struct(weight(), -F.col(ORD))
+    facts = {"best": F.max_by(F.struct(F.col(ORD).alias("ord"), F.col(URL).alias("url")), heaviest).over(w), "place": F.min(ORD).over(w)}
+    first = lambda c: F.min_by(F.col(c), F.when(~is_blank(F.col(c)), F.col(ORD))).over(w)
     if fill:
-        own = Window.partitionBy("k1", "k2", "k3").orderBy(ORD).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        whole = Window.partitionBy("k1", "k2", "k3")
-        filled = {c: F.when(F.col("merges") & is_blank(F.col(c)), F.coalesce(F.first(F.when(~is_blank(F.col(c)), F.col(c)), ignorenulls=True).over(own), F.col(c))).otherwise(F.col(c)) for c in COLUMNS if c not in (FIRST, LAST)}
-        dates = {c: F.when(F.col("merges"), F.coalesce(f(F.when(~is_blank(F.col(c)), F.col(c))).over(whole), F.col(c))).otherwise(F.col(c)) for c, f in ((FIRST, F.min), (LAST, F.max))}
-        g = g.withColumns(filled | dates)
-    stays = ~F.col("merges") | (F.col("rank") == 1)
-    kept = g.where(stays).select(*COLUMNS, F.when(F.col("merges"), F.col("place")).otherwise(F.col(ORD)).alias(ORD))
-    return kept, g.where(~stays).select(*COLUMNS, ORD, "survivor_url")
+        facts |= {f"any_{i}": first(c) for i, c in enumerate(COLUMNS) if c not in (FIRST, LAST)}
+        facts |= {f"any_{i}": (F.min if c == FIRST else F.max)(F.when(~is_blank(F.col(c)), F.col(c))).over(w) for i, c in enumerate(COLUMNS) if c in (FIRST, LAST)}
+    m = m.select("*", *[v.alias(n) for n, v in facts.items()])
+    content = {}
+    if fill:
+        for i, c in enumerate(COLUMNS):
+            needed = F.col("merges") if c in (FIRST, LAST) else F.col("merges") & is_blank(F.col(c))
+            content[c] = F.when(needed, F.coalesce(F.col(f"any_{i}"), F.col(c))).otherwise(F.col(c))
+    survives = F.col("best.ord") == F.col(ORD)
+    content["survivor_url"] = F.when(F.col("merges") & ~survives, F.col("best.url"))
+    content[ORD] = F.when(F.col("merges") & survives, F.col("place")).otherwise(F.col(ORD))
+    return m.select(*[c for c in postings.columns if c not in content], *[v.alias(c) for c, v in content.items()])
+
+
+def dedup(postings: DataFrame, title: Column | None = None, fill: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped).  kept stands at its group's first place; dropped names the survivor."""
+    g = marked(postings, title, fill)
+    return g.where(F.col("survivor_url").isNull()).select(*COLUMNS, ORD), g.where(F.col("survivor_url").isNotNull()).select(*COLUMNS, ORD, "survivor_url")
 
 
 def keep_last(df: DataFrame, *key: str) -> DataFrame:

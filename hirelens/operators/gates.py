@@ -1,7 +1,10 @@
-"""Stage-level gates (Q1-Q7): each splits its input into kept rows and a report of the rest, with reasons.
+"""Stage-level gates (Q1-Q7).  A gate marks every row: whether it goes, with what verdict, and on what grounds.
 
-Judgements are never made here: they come as a verdict table (gate, url, rules_version, answer columns).  A missing
-judgement keeps a row, but for ratings (not found drops) and images (not read drops).
+Judgements are never made here: they come as tables (url, rules_version, answer columns), in which the last answer of a
+URL holds (the greatest judged_on, if there is such a column, then the greatest answer).  A missing judgement keeps a row,
+but for ratings (not found drops) and images (not read drops).
+
+Every gate takes `alive`: rows for which it is false pass unmarked and have no influence on others.
 """
 
 from __future__ import annotations
@@ -11,127 +14,104 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rules import BANNED, Rule, contexts, core_words, hits, words
-from ..functions.text import add_missing, cleaned, company_key, distinct_ci, is_blank, items, joined, split_names, strip_u
+from ..functions.rules import BANNED, Rule, any_hit, contexts, core_words, hits, words
+from ..functions.text import add_missing, add_values, cleaned, company_key, distinct_ci, is_blank, items, joined, keep_values, split_names, strip_u, trim_field
+from ..functions.wording import closed_to_newbie, contradiction_line, looks_mixed, needs_sections, title_unclear, wording_found, wording_hits
 from ..schema import CAREER, COLUMNS, COMPANY, ORD, PREF, RATING, REQ, SITE, TECH, TITLE, URL
-from .dedup import dedup
+from .dedup import marked
 from .skills import Matcher
 
 COMMON = [COMPANY, TITLE, SITE, URL]
-# Marks of career and role wording, verdicts, and the least rating that stays.
-OPEN = r"신입|경력\s*무관|무관|인턴"
-YEARS = r"\d+\s*년"
-SAME_LINE_OK = r"신입|무관|우대|졸업\s*예정"
-TITLE_SIGNALS = r"(?iu)프론트\s*엔드|frontend|풀\s*스택|full\s*stack|안드로이드|android|ios|임베디드|embedded|devops|데브옵스|qa|데이터"
-COMMON_WORDS, RARE_WORDS = r"(?iu)각\s*부문|모집\s*부문|모집\s*분야|직무별", r"(?iu)부문별|직군별|포지션별"
-MINE = r"(?iu)백\s*엔드|backend|back-end|서버|server"
-CUT_DUPLICATE, CUT_CAREER, CUT_WORD, CUT_RATING, KEPT = "제외 · 중복", "제외 · 경력직", "제외 · 낱말", "제외 · 평점", "유지"
-NOT_FOUND, UNRATED = "제외 · 못 찾음", "제외 · 평점 없음"
+# Verdicts, reasons, and the least rating that stays.
+CUT_DUPLICATE, CUT_CAREER, CUT_WORD = "제외 · 중복", "제외 · 경력직", "제외 · 낱말"
+CUT_AVOID, KEPT_FAIR, KEPT_UNJUDGED = "제외 · 피할 자리", "남김 · 결격 아님", "남김 · 판정 실패"
+FIRM, ONSITE, MILITARY, HEADHUNTED, INHERITED = "SI/SM 업체", "상주·파견", "병역특례 전용", "헤드헌팅", " (같은 회사의 다른 공고에서 판정)"
+NOT_FOUND, UNRATED, CUT_RATING, KEPT_RATING = "제외 · 잡플래닛에서 못 찾음", "제외 · 평점 없음", "제외 · 평점 ", "남김 · 평점 "
+CUT_CORE, CUT_CONTRADICTION = "제외 · 핵심 기술 없음", "제외 · 사실상 경력 요구"
+CUT_ROLE, KEPT_NO_BODY, KEPT_UNSURE, KEPT_ROLE = "제외 · 내 직군 없음", "남김 · 본문 없음", "남김 · 부문 내용 없음", "남김 · 부문 골라 덮어씀"
+SECTIONS_FAILED, SECTIONS_NONE, SECTIONS_READ = "남김 · 절 복구 실패", "남김 · 절 복구 · 못 찾음", "남김 · 절 복구"
+CAREER_WORD, SURVIVOR = "경력직", "남긴 행: "
 LEAST_RATING = 2.9
 
 
 @dataclass
 class Gate:
-    kept: DataFrame
-    report: DataFrame
-
-
-def _report(df: DataFrame, verdict: Column, **detail: Column) -> DataFrame:
-    return df.select(*COMMON, verdict.alias("verdict"), *[c.alias(n) for n, c in detail.items()], ORD)
-
-
-# Career wording
-
-
-def segments(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, r"\s/\s|\s·\s|,\s"), strip_u), lambda x: x != "")
-
-
-def closed_to_newbie(c: Column) -> Column:
-    """the first segment that asks for years, unless some segment is open to anyone; else null."""
-    s = segments(c)
-    return F.when(F.exists(s, lambda x: x.rlike(OPEN)), F.lit(None)).otherwise(F.try_element_at(F.filter(s, lambda x: x.rlike(YEARS)), F.lit(1)))
-
-
-def accepts_newbie(c: Column) -> Column:
-    """F10."""
-    return F.regexp_replace(c, r"\s", "").rlike("^(신입|경력무관)")
-
-
-def demands_years(c: Column) -> Column:
-    """the first line of requirements that asks for years without taking it back; else null."""
-    return F.try_element_at(F.filter(F.split(c, "\n"), lambda x: x.rlike(YEARS) & ~x.rlike(SAME_LINE_OK)), F.lit(1))
-
+    """rows: all input rows, with `cut`, `verdict` (null: nothing to report) and the detail columns."""
 
-def career_candidate() -> Column:
-    """F12."""
-    return accepts_newbie(F.col(CAREER)) & demands_years(F.col(REQ)).isNotNull()
+    rows: DataFrame
+    detail: tuple[str, ...]
 
+    @property
+    def kept(self) -> DataFrame:
+        return self.rows.where(~F.col("cut")).select(*COLUMNS, ORD)
 
-# Role wording
+    @property
+    def report(self) -> DataFrame:
+        return self.rows.where(F.col("verdict").isNotNull()).select(*COMMON, "verdict", *self.detail, ORD)
 
 
-def title_hits(c: Column, pattern: str = TITLE_SIGNALS) -> Column:
-    """F13."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(f"({pattern})")), lambda x: F.regexp_replace(x, r"\s+", " ")))
+def _gate(df: DataFrame, given: list[str], cut: Column, verdict: Column, **detail: Column) -> Gate:
+    """df with the marks; of its other columns only the given ones stay."""
+    marks = {"cut": F.coalesce(cut, F.lit(False)), "verdict": verdict, **detail}
+    return Gate(df.select(*given, *[c.alias(n) for n, c in marks.items()]), tuple(detail))
 
 
-def body_hits(c: Column, common: str = COMMON_WORDS, scarce: str = RARE_WORDS) -> Column:
-    """rare words, and common ones if there are two."""
-    often = F.regexp_extract_all(c, F.lit(f"({common})"))
-    rare = F.regexp_extract_all(c, F.lit(f"({scarce})"))
-    return F.array_distinct(F.concat(F.when(F.size(often) >= 2, often).otherwise(F.array().cast("array<string>")), rare))
+def _alive(alive: Column | None) -> Column:
+    return alive if alive is not None else F.lit(True)
 
 
-def title_unclear(c: Column, mine: str = MINE, pattern: str = TITLE_SIGNALS) -> Column:
-    """null where the title names the wanted role; else what it names instead."""
-    return F.when(c.rlike(mine), F.lit(None)).otherwise(F.coalesce(F.nullif(F.array_join(title_hits(c, pattern), ", "), F.lit("")), F.lit("직무 이름 없음")))
-
-
-def looks_mixed(title: Column, body: Column) -> Column:
-    """F15."""
-    return F.concat(F.transform(title_hits(title), lambda x: F.concat(F.lit("제목: "), x)), F.transform(body_hits(body), lambda x: F.concat(F.lit("본문: "), x)))
-
-
-def needs_sections(body: Column, least: int = 400) -> Column:
-    """F16."""
-    return is_blank(F.substring_index(F.col(REQ), "[인재상", 1)) & (F.length(F.coalesce(body, F.lit(""))) >= least)
+def latest(table: DataFrame, key: str) -> DataFrame:
+    """One row for each key: the last answer (greatest judged_on, if there is such a column, then the greatest row)."""
+    rest = [c for c in table.columns if c != key]
+    order = sorted(rest, key=lambda c: (c != "judged_on", rest.index(c)))
+    return table.groupBy(key).agg(F.max(F.struct(*order)).alias("row")).select(key, *[F.col(f"row.{c}").alias(c) for c in rest])
 
 
 # Gates
 
 
-def screen(postings: DataFrame, excluded: list[str], title: Column | None = None) -> Gate:
+def screen(postings: DataFrame, excluded: list[str], title: Column | None = None, alive: Column | None = None) -> Gate:
     """Q1: merge across sites, then drop excluded technologies and career-only postings."""
-    kept, dropped = dedup(postings, title)
-    rules = words(excluded)
-    marked = kept.withColumns({"names": hits(F.col(TECH), rules), "closed": closed_to_newbie(F.col(CAREER))})
-    out = (F.size("names") > 0) | F.col("closed").isNotNull()
-    verdict = F.when(F.col("closed").isNotNull(), CUT_CAREER).otherwise(CUT_WORD)
-    reasons = F.concat(F.col("names"), F.when(F.col("closed").isNotNull(), F.array(F.lit("경력직"))).otherwise(F.array().cast("array<string>")))
-    report = _report(dropped, F.lit(CUT_DUPLICATE), words=F.lit(""), basis=F.col("survivor_url")).unionByName(_report(marked.where(out), verdict, words=F.array_join(reasons, ", "), basis=F.coalesce(F.col("closed"), F.lit(""))))
-    return Gate(marked.where(~out).select(*COLUMNS, ORD), report)
+    live, rules = _alive(alive), words(excluded)
+    m = marked(postings, title, alive=alive)
+    copy = F.col("survivor_url").isNotNull()
+    m = m.withColumns({"names": hits(F.col(TECH), rules), "closed": closed_to_newbie(F.col(CAREER))})
+    closed = F.col("closed").isNotNull()
+    out = (F.size("names") > 0) | closed
+    none = F.array().cast("array<string>")
+    found = F.concat(F.col("names"), F.when(closed, F.array(F.lit(CAREER_WORD))).otherwise(none))
+    where = F.concat(F.transform("names", lambda n: F.concat(n, F.lit(f" «{TECH}»"))), F.when(closed, F.array(F.concat(F.lit(f"{CAREER_WORD} «"), F.col("closed"), F.lit("»")))).otherwise(none))
+    verdict = F.when(~live, F.lit(None)).when(copy, CUT_DUPLICATE).when(closed, CUT_CAREER).when(out, CUT_WORD)
+    basis = F.when(copy, F.concat(F.lit(SURVIVOR), F.col("survivor_url"))).otherwise(F.array_join(where, " / "))
+    return _gate(m, postings.columns, live & (copy | out), verdict, words=F.when(copy, "").otherwise(F.array_join(found, ", ")), basis=basis)
 
 
 def banned_hits(postings: DataFrame, rules: list[Rule] = BANNED, width: int = 24) -> DataFrame:
     """URL, and name and context of each rule that a posting's title, requirements or preferences hit."""
-    text = joined(TITLE, REQ, PREF)
-    return postings.select(URL, F.inline(contexts(text, rules, width)))
+    return postings.select(URL, F.inline(contexts(joined(TITLE, REQ, PREF), rules, width)))
 
 
-def core_tech(postings: DataFrame, names: list[str]) -> Gate:
+def core_tech(postings: DataFrame, names: list[str], alive: Column | None = None) -> Gate:
     """Q4: keeps rows that name a core technology; without names it refuses to run."""
     if not names:
         raise ValueError("no core technologies are set; the gate would drop or pass everything")
-    text, rules = joined(TECH, REQ, PREF), core_words(names)
-    marked = postings.withColumn("found", contexts(text, rules))
-    return Gate(marked.where(F.size("found") > 0), _report(marked.where(F.size("found") == 0), F.lit(CUT_WORD), tech=F.col(TECH)))
+    rules = core_words(names)
+    # One column after the other: most rows are decided by the short one.
+    found = any_hit(F.col(TECH), rules) | any_hit(F.col(REQ), rules) | any_hit(F.col(PREF), rules)
+    m = postings.withColumn("found", found)
+    out = _alive(alive) & ~F.col("found")
+    return _gate(m, postings.columns, out, F.when(out, CUT_CORE), tech=F.col(TECH))
+
+
+def core_hits(postings: DataFrame, names: list[str]) -> DataFrame:
+    """F8: URL, and name and context of each core technology a posting names."""
+    return postings.select(URL, F.inline(contexts(joined(TECH, REQ, PREF), core_words(names))))
 
 
-def with_verdicts(postings: DataFrame, verdicts: DataFrame, version: int) -> DataFrame:
-    """The verdict of the URL under these rules as the struct v, null if there is none."""
-    v = verdicts.where(F.col("rules_version") == version).drop("rules_version")
-    v = v.select(F.col("url").alias("v_url"), F.struct(*[c for c in v.columns if c != "url"]).alias("v"))
+def with_verdicts(postings: DataFrame, verdicts: DataFrame, version: int, name: str = "v") -> DataFrame:
+    """The last verdict of the URL under these rules as a struct, null if there is none."""
+    v = latest(verdicts.where(F.col("rules_version") == version).drop("rules_version"), "url")
+    v = v.select(F.col("url").alias("v_url"), F.struct(*[c for c in v.columns if c != "url"]).alias(name))
     return postings.join(v, postings[URL] == F.col("v_url"), "left").drop("v_url")
 
 
@@ -140,44 +120,64 @@ def pending(postings: DataFrame, verdicts: DataFrame, version: int, candidate: C
     return postings.where(candidate).join(verdicts.where(F.col("rules_version") == version).select(F.col("url").alias(URL)), URL, "left_anti")
 
 
-def career(postings: DataFrame, verdicts: DataFrame, version: int = 2) -> Gate:
+def with_bodies(postings: DataFrame, bodies: DataFrame | None) -> DataFrame:
+    """The body of the URL, empty if there is none."""
+    if bodies is None:
+        return postings.withColumn("body", F.lit(""))
+    b = latest(bodies.select(F.col("url").alias("b_url"), F.col("body").alias("b_body")), "b_url")
+    return postings.join(b, postings[URL] == F.col("b_url"), "left").drop("b_url").withColumn("body", F.coalesce("b_body", F.lit(""))).drop("b_body")
+
+
+def career(postings: DataFrame, verdicts: DataFrame, version: int = 2, alive: Column | None = None) -> Gate:
     """Q5: drops candidates judged contradictory.  verdicts: url, rules_version, contradiction, basis."""
-    m = with_verdicts(postings, verdicts, version)
-    out = F.coalesce(career_candidate() & F.col("v.contradiction"), F.lit(False))
-    return Gate(m.where(~out).select(*COLUMNS, ORD), _report(m.where(out), F.lit(CUT_CAREER), career=F.col(CAREER), basis=F.col("v.basis")))
+    m = with_verdicts(postings, verdicts, version).withColumn("line", contradiction_line(F.col(CAREER), F.col(REQ)))
+    out = _alive(alive) & F.col("line").isNotNull() & F.coalesce(F.col("v.contradiction"), F.lit(False))
+    return _gate(m, postings.columns, out, F.when(out, CUT_CONTRADICTION), career=F.col(CAREER), line=F.col("line"), basis=F.coalesce(F.col("v.basis"), F.lit("")))
 
 
-def nuance(postings: DataFrame, verdicts: DataFrame, candidate: Column, version: int = 4) -> Gate:
-    """Q2: four marks; those of the firm and of head hunting spread to the company's other judged candidates.
+def nuance(postings: DataFrame, verdicts: DataFrame, bodies: DataFrame | None = None, version: int = 4, alive: Column | None = None) -> Gate:
+    """Q2: postings with an unwanted word, in their columns or body, are judged; marks of the firm and of head hunting spread
+    to the other judged candidates of the company (a blank company key is a company too).
 
-    verdicts: url, rules_version, firm, onsite, military, headhunt, basis.  A blank company spreads nothing.
+    verdicts: url, rules_version, firm, onsite, military, headhunt, basis.
     """
-    m = with_verdicts(postings, verdicts, version).withColumns({"candidate": candidate, "key": company_key(F.col(COMPANY))})
-    judged = F.col("candidate") & F.col("v").isNotNull()
-    flag = lambda c: F.coalesce(judged & F.col(f"v.{c}"), F.lit(False))
+    m = with_bodies(with_verdicts(postings, verdicts, version), bodies).withColumn("columns_text", joined(TITLE, REQ, PREF))
+    m = m.withColumns({"candidate": _alive(alive) & wording_found(F.col("columns_text"), F.col("body")), "key": company_key(F.col(COMPANY))})
+    # The answer comes first: texts of rows without one need not be searched for it.
+    judged = F.col("v").isNotNull() & F.col("candidate")
+    flag = lambda c: F.coalesce(F.col("v").isNotNull() & F.col(f"v.{c}") & F.col("candidate"), F.lit(False))
     # Companies with a mark are few rows after this; a hot company needs no window over all its postings.
-    marks = m.where((flag("firm") | flag("headhunt")) & (F.col("key") != "")).groupBy("key").agg(F.max(flag("firm")).alias("c_firm"), F.max(flag("headhunt")).alias("c_head"))
+    marks = m.where(flag("firm") | flag("headhunt")).groupBy("key").agg(F.max(flag("firm")).alias("c_firm"), F.max(flag("headhunt")).alias("c_head"))
     m = m.join(marks, "key", "left")
     spread = lambda c: judged & F.coalesce(F.col(c), F.lit(False))
-    firm, head = flag("firm") | spread("c_firm"), flag("headhunt") | spread("c_head")
-    reasons = F.array_compact(F.array(F.when(firm, "firm"), F.when(head, "headhunt"), F.when(flag("onsite"), "onsite"), F.when(flag("military"), "military")))
+    firm, head = spread("c_firm"), spread("c_head")
     inherited = (firm & ~flag("firm")) | (head & ~flag("headhunt"))
-    m = m.withColumns({"reasons": reasons, "inherited": inherited})
+    reasons = F.array_compact(F.array(F.when(firm, FIRM), F.when(flag("onsite"), ONSITE), F.when(flag("military"), MILITARY), F.when(head, HEADHUNTED)))
+    m = m.withColumns({"reasons": reasons, "inherited": inherited, "hits": F.when(F.col("candidate"), wording_hits(F.col("columns_text"), F.col("body")))})
     out = F.size("reasons") > 0
-    return Gate(m.where(~out).select(*COLUMNS, ORD), _report(m.where("candidate"), F.when(out, "제외").otherwise(KEPT), reasons=F.array_join("reasons", ", "), inherited=F.col("inherited"), basis=F.coalesce("v.basis", F.lit(""))))
+    verdict = F.when(~F.col("candidate"), F.lit(None)).when(~judged, KEPT_UNJUDGED).when(out, CUT_AVOID).otherwise(KEPT_FAIR)
+    near = F.substring(F.array_join(F.transform("hits", lambda h: F.concat(h["name"], F.lit(" «"), h["near"], F.lit("»"))), " / "), 1, 300)
+    reason = F.concat(F.array_join("reasons", " · "), F.when(out & F.col("inherited"), INHERITED).otherwise(""))
+    return _gate(
+        m, postings.columns, out, verdict, reason=reason,
+        words=F.array_join(F.array_sort(F.array_distinct(F.col("hits.name"))), ", "), place=F.array_join(F.array_sort(F.array_distinct(F.col("hits.place"))), " / "),
+        basis=F.coalesce(F.nullif(F.col("v.basis"), F.lit("")), near),
+    )
 
 
-def rating_verdict(rating: Column, found: Column, least: float = LEAST_RATING) -> Column:
-    """F22."""
-    return F.when(~F.coalesce(found, F.lit(False)) | rating.isNull(), NOT_FOUND).when(rating == 0, UNRATED).when(rating < least, F.concat(F.lit(f"{CUT_RATING} "), F.format_string("%.1f", rating))).otherwise(KEPT)
+def rating_verdict(rating: Column, least: float = LEAST_RATING) -> Column:
+    """a rating that is null is one not found."""
+    shown = F.format_string("%.1f", rating)
+    return F.when(rating.isNull(), NOT_FOUND).when(rating == 0, UNRATED).when(rating < least, F.concat(F.lit(CUT_RATING), shown)).otherwise(F.concat(F.lit(KEPT_RATING), shown))
 
 
-def rating(postings: DataFrame, ratings: DataFrame, least: float = LEAST_RATING) -> Gate:
-    """Q3: joins company ratings (company_key, rating) and drops companies not found, unrated or rated low."""
-    m = postings.withColumn("key", company_key(F.col(COMPANY))).join(ratings.select(F.col("company_key").alias("key"), F.col("rating").alias("r"), F.lit(True).alias("found")), "key", "left")
-    m = m.withColumn("verdict", rating_verdict(F.col("r"), F.col("found"), least))
-    kept = m.where(F.col("verdict") == KEPT).withColumn(RATING, F.format_string("%.1f", "r")).select(*COLUMNS, ORD)
-    return Gate(kept, _report(m.where(F.col("verdict") != KEPT), F.col("verdict"), rating=F.col("r")))
+def rating(postings: DataFrame, ratings: DataFrame, least: float = LEAST_RATING, alive: Column | None = None) -> Gate:
+    """Q3: company ratings (company_key, rating) are joined; companies not found, unrated or rated low go."""
+    r = latest(ratings, "company_key").select(F.col("company_key").alias("key"), F.col("rating").cast("double").alias("r"))
+    m = postings.withColumn("key", company_key(F.col(COMPANY))).join(r, "key", "left").withColumn("says", rating_verdict(F.col("r"), least))
+    live, out = _alive(alive), ~F.col("says").startswith(KEPT_RATING)
+    m = m.withColumn(RATING, F.when(live & ~out, F.format_string("%.1f", "r")).otherwise(F.col(RATING)))
+    return _gate(m, postings.columns, live & out, F.when(live, F.col("says")), rating=F.col("r"))
 
 
 def pick_candidate(candidates: DataFrame) -> DataFrame:
@@ -191,21 +191,43 @@ def ladder(variants: DataFrame, index: DataFrame) -> DataFrame:
     return variants.join(index.select(F.col("name").alias("variant")).distinct(), "variant", "left_semi").groupBy("company_key").agg(F.min("pos").alias("pos"), F.min_by("variant", "pos").alias("variant"))
 
 
-def role(postings: DataFrame, verdicts: DataFrame, bodies: DataFrame, version: int = 4) -> Gate:
-    """Q6: postings with role signals and a body are judged: not the role drops, surely known content overwrites.
+def overwritten(answer: str, matcher: Matcher | None) -> dict[str, Column]:
+    """What a judgement (tech, req, pref, career) makes of the four columns: blanks change nothing, of the technologies
+    those known stay, and values under their heading are put back."""
+    text = lambda c: strip_u(F.coalesce(F.col(f"{answer}.{c}").cast("string"), F.lit("")))
+    names = split_names(text("tech"))
+    tech = F.array_join(matcher.keep_known(names) if matcher else distinct_ci(names), ", ")
+    given = {TECH: tech, REQ: text("req"), PREF: text("pref"), CAREER: text("career")}
+    out = {c: F.when(v != "", trim_field(v)).otherwise(F.col(c)) for c, v in given.items()}
+    out[REQ] = keep_values(F.col(REQ), out[REQ])
+    return out
+
 
-    verdicts: url, rules_version, fits, sure, tech, req, pref, career.
+def role(postings: DataFrame, verdicts: DataFrame, bodies: DataFrame, fills: DataFrame | None = None, version: int = 4, matcher: Matcher | None = None, alive: Column | None = None) -> Gate:
+    """Q6: postings that may hold several roles or another one, and have a body, are judged: not the role drops, surely known
+    content overwrites.  Others whose sections could not be read take what was read for them anew (fills).
+
+    verdicts: url, rules_version, fits, sure, tech, req, pref, career; fills the same without fits and sure.
     """
-    b = bodies.select(F.col("url").alias("b_url"), "body")
-    m = with_verdicts(postings, verdicts, version).join(b, F.col(URL) == F.col("b_url"), "left").drop("b_url")
-    signals = F.concat(looks_mixed(F.col(TITLE), F.coalesce("body", F.lit(""))), F.array_compact(F.array(title_unclear(F.col(TITLE)))))
-    m = m.withColumn("signals", signals)
-    asked = (F.size("signals") > 0) & ~is_blank(F.coalesce("body", F.lit("")))
-    out = F.coalesce(asked & ~F.col("v.fits"), F.lit(False))
-    write = asked & F.col("v").isNotNull() & F.coalesce("v.sure", F.lit(True))
-    new = {c: F.when(write & ~is_blank(F.coalesce(F.col(f"v.{a}"), F.lit(""))), F.col(f"v.{a}")).otherwise(F.col(c)) for c, a in ((TECH, "tech"), (REQ, "req"), (PREF, "pref"), (CAREER, "career"))}
-    kept = m.where(~out).withColumns(new).select(*COLUMNS, ORD)
-    return Gate(kept, _report(m.where(F.size("signals") > 0), F.when(out, "제외").when(~asked, "본문 없음").otherwise(KEPT), signals=F.array_join("signals", ", ")))
+    live = _alive(alive)
+    m = with_bodies(with_verdicts(postings, verdicts, version), bodies)
+    if fills is not None:
+        m = with_verdicts(m, fills.select("url", "rules_version", "tech", "req", "pref", "career"), version, "f")
+    else:
+        m = m.withColumn("f", F.lit(None).cast("struct<tech:string,req:string,pref:string,career:string>"))
+    signals = F.concat(looks_mixed(F.col(TITLE), F.col("body")), F.array_compact(F.array(title_unclear(F.col(TITLE)))))
+    m = m.withColumns({"signals": signals, "why": needs_sections(F.col(REQ), F.col("body"))})
+    asked, judged = F.size("signals") > 0, F.col("v").isNotNull()
+    fits, sure = F.coalesce(F.col("v.fits"), F.lit(False)), F.coalesce(F.col("v.sure"), F.lit(True))
+    states = [(~live, None), (asked & (F.col("body") == ""), KEPT_NO_BODY), (asked & ~judged, KEPT_UNJUDGED), (asked & ~fits, CUT_ROLE), (asked & ~sure, KEPT_UNSURE), (asked, KEPT_ROLE)]
+    reread = [(F.col("why").isNull(), None), (F.col("f").isNull(), SECTIONS_FAILED), (is_blank(F.col("f.req")), SECTIONS_NONE)]
+    verdict = F.lit(SECTIONS_READ)
+    for test, says in reversed(states + reread):
+        verdict = F.when(test, F.lit(says)).otherwise(verdict)
+    m = m.withColumn("says", verdict)
+    picked, reread_ = overwritten("v", matcher), overwritten("f", matcher)
+    new = {c: F.when(F.col("says") == KEPT_ROLE, picked[c]).when(F.col("says") == SECTIONS_READ, reread_[c]).otherwise(F.col(c)) for c in picked}
+    return _gate(m.withColumns(new), postings.columns, F.col("says") == CUT_ROLE, F.col("says"), signals=F.when(asked, F.array_join("signals", " / ")).otherwise(F.coalesce("why", F.lit(""))))
 
 
 def image_parts(c: Column) -> Column:
@@ -213,17 +235,22 @@ def image_parts(c: Column) -> Column:
     return F.filter(items(c), lambda x: x.startswith("http"))
 
 
-def image_fill(postings: DataFrame, reads: DataFrame, matcher: Matcher | None = None) -> Gate:
+READ = ("tech", "req", "pref", "values")
+
+
+def image_fill(postings: DataFrame, reads: DataFrame, matcher: Matcher | None = None, alive: Column | None = None) -> Gate:
     """Q7: rows whose technologies hold image addresses take what was read from the images.
 
-    reads: key (the addresses joined by blanks), tech, req, pref (arrays; an absent column was not read).  A row goes only
-    if all three are empty; unread rows are left for another run.  Of the read names those the matcher knows are taken,
-    and all of them without a matcher.
+    reads: key (the addresses joined by blanks), tech, req, pref, values (arrays; an absent column was not read).  A row goes
+    only if technologies, requirements and preferences are all empty; unread rows are left for another run.  Of the read
+    names those the matcher knows are taken, and all of them without a matcher.
     """
     none = F.array().cast("array<string>")
-    m = postings.withColumn("key", F.array_join(image_parts(F.col(TECH)), " "))
-    read = {c: cleaned(F.flatten(F.transform(F.array_compact(F.col(c)), split_names)) if c == "tech" else F.col(c)) if c in reads.columns else none for c in ("tech", "req", "pref")}
-    m = m.join(reads.select("key", F.struct(*[v.alias(c) for c, v in read.items()]).alias("read")), "key", "left")
+    live = _alive(alive)
+    m = postings.withColumn("key", F.when(live, F.array_join(image_parts(F.col(TECH)), " ")).otherwise(""))
+    read = {c: cleaned(F.flatten(F.transform(F.array_compact(F.col(c)), split_names)) if c == "tech" else F.col(c)) if c in reads.columns else none for c in READ}
+    r = latest(reads, "key")
+    m = m.join(r.select("key", F.struct(*[v.alias(c) for c, v in read.items()]).alias("read")), "key", "left")
     has = F.col("key") != ""
     empty = (F.size("read.tech") == 0) & (F.size("read.req") == 0) & (F.size("read.pref") == 0)
     out = has & (F.col("read").isNull() | empty)
@@ -232,7 +259,9 @@ def image_fill(postings: DataFrame, reads: DataFrame, matcher: Matcher | None =
     new = F.filter(names, lambda x: ~F.exists(own, lambda y: F.lower(y) == F.lower(x)))
     filled = {
         TECH: F.when(has, F.array_join(F.concat(own, new), ", ")).otherwise(F.col(TECH)),
-        REQ: F.when(has, add_missing(F.col(REQ), F.col("read.req"))).otherwise(F.col(REQ)),
+        REQ: F.when(has, add_values(add_missing(F.col(REQ), F.col("read.req")), F.col("read.values"))).otherwise(F.col(REQ)),
         PREF: F.when(has, add_missing(F.col(PREF), F.col("read.pref"))).otherwise(F.col(PREF)),
     }
-    return Gate(m.where(~out).withColumns(filled).select(*COLUMNS, ORD), _report(m.where(out), F.when(F.col("read").isNull(), "이미지 못 읽음").otherwise("이미지에 없음"), images=F.col("key")))
+    given = {c: F.when(out, F.col(c)).otherwise(v) for c, v in filled.items()}
+    verdict = F.when(out, F.when(F.col("read").isNull(), "이미지 못 읽음").otherwise("이미지에 없음"))
+    return _gate(m.withColumns(given), postings.columns, out, verdict, images=F.col("key"))

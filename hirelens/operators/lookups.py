@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import is_blank
+
+# Kinds of places that a name may leave out, the name for everywhere, and career bands with their codes.
+PLACE_KIND = "(특별시|광역시|특별자치시|특별자치도|시|군|구|도)$"
+NATIONWIDE = "전국"
+CAREER_NEW, CAREER_BANDS = "1", [(1, 3, "2"), (4, 6, "3"), (7, 9, "4"), (10, 15, "5"), (16, 20, "6"), (21, 99, "7")]
+
 
 def resolve(names: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(name, code) of names a table (name, code) knows, ignoring case; and the names it doesn't know."""
@@ -35,20 +44,21 @@ def group_of(mapping: DataFrame) -> DataFrame:
 
 
 def place_matches(place: Column, wanted: list[str]) -> Column:
-    """no condition, no place, anywhere, or a wanted name (or its stem) in the place."""
+    """without a condition or a place all match; else a wanted name, or it without its kind of place, in the place."""
     if not wanted:
         return F.lit(True)
-    stems = [w[:-1] if len(w) > 2 and w[-1] in "시도군구" else w for w in wanted]
     p = F.coalesce(place, F.lit(""))
-    out = (F.trim(p) == "") | p.contains("전국")
-    for w in {*wanted, *stems}:
-        out = out | p.contains(w)
+    out = is_blank(p)
+    for name in (" ".join(w.split()) for w in wanted):
+        stem = re.sub(PLACE_KIND, "", name)
+        out = out | (F.lit(True) if name in ("", NATIONWIDE) else p.contains(name) | (p.contains(stem) if stem else F.lit(False)))
     return out
 
 
-def career_band(years: Column, bands: list[tuple[int, int, int]]) -> Column:
-    """The code of the band (low, high, code) that holds the years."""
-    out = F.lit(None).cast("int")
+def career_band(years: Column, bands: list[tuple[int, int, str]] = CAREER_BANDS) -> Column:
+    """Nothing for below zero years, the newcomers' code for none, else the code of the band (low, high, code) that
+    holds them, the last one beyond all."""
+    out = F.lit(bands[-1][2])
     for low, high, code in reversed(bands):
         out = F.when((years >= low) & (years <= high), code).otherwise(out)
-    return out
+    return F.when(years < 0, "").when(years == 0, CAREER_NEW).otherwise(out)

@@ -26,7 +26,7 @@ def site_order(site: Column) -> Column:
 
 
 def parsed(c: Column) -> Column:
-    return F.try_to_timestamp(c, F.lit("yyyy-M-d")).cast("date")
+    return F.try_to_timestamp(F.when(c.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"), F.trim(c)), F.lit("yyyy-M-d")).cast("date")
 
 
 def upsert(existing: DataFrame, fresh: DataFrame, today: str, days: int = KEEP_DAYS) -> DataFrame:
@@ -37,12 +37,13 @@ def upsert(existing: DataFrame, fresh: DataFrame, today: str, days: int = KEEP_D
     """
     rest = [c for c in COLUMNS if c != URL]
     old = keep_last(as_postings(existing).where(F.col(URL) != ""), URL).select(URL, F.struct(*rest).alias("o"), F.col(ORD).alias("o_ord"))
-    new = keep_last(as_postings(fresh).where(F.col(URL) != ""), URL).select(URL, F.struct(*rest).alias("n"), F.col(ORD).alias("n_ord"))
+    given = as_postings(fresh).where(F.col(URL) != "")
+    new = given.groupBy(URL).agg(F.max_by(F.struct(*rest), ORD).alias("n"), F.min(ORD).alias("n_ord"), F.count(F.lit(1)).alias("given"))
     both = old.join(new, URL, "full_outer")
     content = {c: F.coalesce(F.col("n")[c], F.col("o")[c]) for c in rest}
     content[FIRST] = F.when(F.col("n").isNull(), F.col("o")[FIRST]).otherwise(F.coalesce(F.nullif(F.col("o")[FIRST], F.lit("")), F.lit(today)))
     content[LAST] = F.when(F.col("n").isNull(), F.col("o")[LAST]).otherwise(F.lit(today))
-    rows = both.select(URL, *[content[c].alias(c) for c in rest], F.coalesce("o_ord", F.col("n_ord") + F.lit(1 << 52)).alias(ORD), F.when(F.col("n").isNull(), "unseen").when(F.col("o").isNull(), "added").otherwise("updated").alias("state"))
+    rows = both.select(URL, *[content[c].alias(c) for c in rest], F.coalesce("o_ord", F.col("n_ord") + F.lit(1 << 52)).alias(ORD), F.when(F.col("n").isNull(), "unseen").when(F.col("o").isNull(), "added").otherwise("updated").alias("state"), F.coalesce("given", F.lit(0)).alias("given"))
     last = parsed(F.col(LAST))
     return rows.withColumns({"expired": F.coalesce(last < F.date_sub(parsed(F.lit(today)), days), F.lit(False)), "undated": last.isNull()})
 
@@ -52,10 +53,18 @@ def merge(existing: DataFrame, fresh: DataFrame, today: str, days: int = KEEP_DA
     return upsert(existing, fresh, today, days).where(~F.col("expired")).select(*COLUMNS, ORD).orderBy(F.col(LAST).desc(), F.col(FIRST).desc(), F.col(URL).desc())
 
 
+def merged(existing: DataFrame, fresh: DataFrame, today: str, days: int = KEEP_DAYS) -> DataFrame:
+    """The rows upsert() keeps, in no order: what is stored in buckets needs none."""
+    return upsert(existing, fresh, today, days).where(~F.col("expired")).select(*COLUMNS, ORD)
+
+
 def counters(marked: DataFrame) -> DataFrame:
-    """A4 over upsert()'s rows; a URL counts once."""
+    """A4 over upsert()'s rows: every fresh row counts, the first of a new URL as added and all others as updated; unseen
+    is what else is kept, and undated rows are among the kept ones."""
     n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0).cast("long"))
-    return marked.agg(*[n(F.col("state") == s).alias(s) for s in ("added", "updated", "unseen")], n(F.col("expired")).alias("expired"), n(F.col("undated")).alias("undated"))
+    kept, added = n(~F.col("expired")), n(F.col("state") == "added")
+    updated = n(F.col("given")) - added
+    return marked.agg(added.alias("added"), updated.alias("updated"), (kept - added - updated).alias("unseen"), n(F.col("expired")).alias("expired"), n(F.col("undated")).alias("undated"))
 
 
 def revive_first_seen(rows: DataFrame, history: DataFrame) -> DataFrame:

@@ -1,14 +1,20 @@
-"""The stages in order (Q9): union, image fill, role, screen, wording, rating, core technologies, career, history."""
+"""The stages in order (Q9): union, image fill, role, screen, wording, rating, core technologies, career, history.
+
+One frame goes through all of them: a row that a gate drops keeps its fate (stage, verdict, grounds) and takes no part in
+what follows.  So the final rows, the reports and the funnel are each one pass over the input, whatever gates are set;
+only the merge across sites reads its keys beforehand.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from ..operators import analytics, gates
-from ..operators.merge import dropped_union
+from ..operators import gates
 from ..operators.skills import Matcher
+from ..schema import COLUMNS, ORD
 
 
 @dataclass
@@ -22,35 +28,59 @@ class Context:
     matcher: Matcher | None = None
     bodies: DataFrame | None = None
     role_verdicts: DataFrame | None = None
+    role_fills: DataFrame | None = None
     nuance_verdicts: DataFrame | None = None
-    nuance_candidate: Column | None = None
     career_verdicts: DataFrame | None = None
     title: Column | None = None
 
 
+STAGES = ["merged", "image", "role", "filter", "nuance", "rating", "core", "career"]
+
+
 @dataclass
 class Result:
-    final: DataFrame
-    report: DataFrame
-    funnel: DataFrame
+    """rows: every posting, with fate (null: it is in the final list)."""
+
+    rows: DataFrame
+    ran: list[str]
+
+    @property
+    def final(self) -> DataFrame:
+        return self.rows.where(F.col("fate").isNull()).select(*COLUMNS, ORD)
+
+    @property
+    def report(self) -> DataFrame:
+        """Every dropped row with its stage, verdict and grounds."""
+        return self.rows.where(F.col("fate").isNotNull()).select(*gates.COMMON, "fate.stage", "fate.verdict", "fate.detail", ORD)
+
+    @property
+    def funnel(self) -> DataFrame:
+        """A3: rows after each stage, null for a stage that has not run; one aggregate."""
+        pos = F.col("fate.pos")
+        counts = self.rows.agg(*[F.count(F.when(pos.isNull() | (pos > k), 1)).alias(f"n{k}") for k in range(len(STAGES))])
+        each = [F.struct(F.lit(k).alias("pos"), F.lit(s).alias("stage"), (F.col(f"n{k}") if s in self.ran else F.lit(None).cast("long")).alias("n")) for k, s in enumerate(STAGES)]
+        return counts.select(F.inline(F.array(*each)))
 
 
 def run(postings: DataFrame, ctx: Context) -> Result:
-    """Every dropped row is in the report with its stage; a gate without its side table is passed over (None in the funnel)."""
+    """Every dropped row is in the report with its stage; a gate without its side table is passed over."""
     steps = {
-        "image": (ctx.reads is not None, lambda p: gates.image_fill(p, ctx.reads, ctx.matcher)),
-        "role": (ctx.role_verdicts is not None and ctx.bodies is not None, lambda p: gates.role(p, ctx.role_verdicts, ctx.bodies)),
-        "filter": (True, lambda p: gates.screen(p, ctx.excluded, ctx.title)),
-        "nuance": (ctx.nuance_verdicts is not None, lambda p: gates.nuance(p, ctx.nuance_verdicts, ctx.nuance_candidate)),
-        "rating": (ctx.ratings is not None, lambda p: gates.rating(p, ctx.ratings)),
-        "core": (bool(ctx.core), lambda p: gates.core_tech(p, ctx.core)),
-        "career": (ctx.career_verdicts is not None, lambda p: gates.career(p, ctx.career_verdicts)),
+        "image": (ctx.reads is not None, lambda p, a: gates.image_fill(p, ctx.reads, ctx.matcher, alive=a)),
+        "role": (ctx.role_verdicts is not None and ctx.bodies is not None, lambda p, a: gates.role(p, ctx.role_verdicts, ctx.bodies, ctx.role_fills, matcher=ctx.matcher, alive=a)),
+        "filter": (True, lambda p, a: gates.screen(p, ctx.excluded, ctx.title, alive=a)),
+        "nuance": (ctx.nuance_verdicts is not None, lambda p, a: gates.nuance(p, ctx.nuance_verdicts, ctx.bodies, alive=a)),
+        "rating": (ctx.ratings is not None, lambda p, a: gates.rating(p, ctx.ratings, alive=a)),
+        "core": (bool(ctx.core), lambda p, a: gates.core_tech(p, ctx.core, alive=a)),
+        "career": (ctx.career_verdicts is not None, lambda p, a: gates.career(p, ctx.career_verdicts, alive=a)),
     }
-    counts, reports, rows = {"merged": postings}, {}, postings
+    rows = postings.withColumn("fate", F.lit(None).cast("struct<pos:int,stage:string,verdict:string,detail:string>"))
+    ran = [STAGES[0]]
     for name, (runs, step) in steps.items():
         if not runs:
-            counts[name] = None
             continue
-        g = step(rows)
-        rows, reports[name], counts[name] = g.kept, g.report, g.kept
-    return Result(rows, dropped_union(reports, [*gates.COMMON, "verdict"]), analytics.funnel(counts))
+        g = step(rows, F.col("fate").isNull())
+        said = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in g.detail]
+        fate = F.struct(F.lit(STAGES.index(name)).alias("pos"), F.lit(name).alias("stage"), F.col("verdict"), F.concat_ws(" · ", *said).alias("detail"))
+        rows = g.rows.withColumn("fate", F.when(F.col("fate").isNull() & F.col("cut"), fate).otherwise(F.col("fate"))).drop("cut", "verdict", *g.detail)
+        ran.append(name)
+    return Result(rows, ran)

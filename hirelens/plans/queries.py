@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import markup, rules, text
+from ..functions import markup, rules, text, wording
 from ..operators import analytics as an
 from ..operators import dedup, gates, lookups, merge, sections, sites, skills
-from ..schema import CAREER, COMPANY, FIRST, LAST, ORD, PREF, REQ, SALARY, SITE, SITES, TECH, TITLE, URL
+from ..schema import CAREER, COMPANY, FIRST, LAST, ORD, PREF, REQ, SITE, SITES, TECH, TITLE, URL
 from ..sources.files import gather_bodies
 from ..streaming import history
 from . import pipeline
-from .view import GROUPS, KEY, SQL, TECHS, hits_sql, postings, renamed, table, word_sql
+from .view import BASE, GROUPS, KEY, SQL, bodies, groups, hits_sql, postings, renamed, table, word_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,10 +33,6 @@ def query(sql: str | None = None, view: bool = True):
     return add
 
 
-def plain_title():
-    return text.plain_title_key(F.col(TITLE))
-
-
 def names_in(column: str):
     return skills.plain_names(F.col(column), VOCABULARY)
 
@@ -49,7 +45,7 @@ def scan_union_all_sites(spark, d):
 
 @query(f", {GROUPS} SELECT url, CASE WHEN merges THEN place_at ELSE ord END AS ord FROM m WHERE NOT merges OR rk = 1")
 def dedup_cross_site(spark, d):
-    return renamed(dedup.dedup(postings(spark, d), plain_title(), fill=False)[0], "url", "ord")
+    return renamed(dedup.dedup(postings(spark, d), fill=False)[0], "url", "ord")
 
 
 @query(f""", {GROUPS},
@@ -58,13 +54,13 @@ f AS (SELECT *, first_value(CASE WHEN trim(req) <> '' THEN req END IGNORE NULLS)
 SELECT url, md5(CASE WHEN merges AND trim(req) = '' THEN coalesce(any_req, req) ELSE req END) AS req, md5(CASE WHEN merges AND trim(pref) = '' THEN coalesce(any_pref, pref) ELSE pref END) AS pref,
  CASE WHEN merges THEN lo ELSE first_seen END AS first_seen, CASE WHEN merges THEN hi ELSE last_seen END AS last_seen FROM f WHERE NOT merges OR rk = 1""")
 def dedup_fill_blanks(spark, d):
-    kept = renamed(dedup.dedup(postings(spark, d), plain_title())[0], "url", "req", "pref", "first_seen", "last_seen")
+    kept = renamed(dedup.dedup(postings(spark, d))[0], "url", "req", "pref", "first_seen", "last_seen")
     return kept.withColumns({"req": F.md5("req"), "pref": F.md5("pref")})
 
 
 @query(f", {GROUPS} SELECT url, survivor_url FROM m WHERE merges AND rk > 1")
 def dedup_dropped_report(spark, d):
-    return renamed(dedup.dedup(postings(spark, d), plain_title(), fill=False)[1], "url", "survivor_url")
+    return renamed(dedup.dedup(postings(spark, d), fill=False)[1], "url", "survivor_url")
 
 
 @query(f", k AS (SELECT {KEY} AS company_key, company, ord FROM p WHERE trim(company) <> ''), r AS (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY length(company) DESC, ord) AS n FROM k) SELECT company_key, company AS name FROM r WHERE n = 1")
@@ -73,12 +69,14 @@ def company_representative(spark, d):
 
 
 def _upsert(spark, d):
+    """Both sides together hold every posting; some fresh rows stand there twice."""
     p = postings(spark, d)
-    return merge.upsert(p.where(F.col(ORD) % 3 != 0), p.where(F.col(ORD) % 2 == 0), TODAY)
+    fresh = p.where((F.col(ORD) % 2 == 0) | (F.col(ORD) % 3 == 0))
+    return merge.upsert(p.where(F.col(ORD) % 3 != 0), fresh.unionByName(fresh.where(F.col(ORD) % 10 == 0)), TODAY)
 
 
-UPSERT = f""", o AS (SELECT * FROM p WHERE ord % 3 <> 0), n AS (SELECT * FROM p WHERE ord % 2 = 0),
-u AS (SELECT coalesce(o.url, n.url) AS url, CASE WHEN n.url IS NULL THEN o.first_seen ELSE coalesce(nullif(o.first_seen, ''), '{TODAY}') END AS first_seen,
+UPSERT = f""", o AS (SELECT * FROM p WHERE ord % 3 <> 0), n AS (SELECT *, CASE WHEN ord % 10 = 0 THEN 2 ELSE 1 END AS given FROM p WHERE ord % 2 = 0 OR ord % 3 = 0),
+u AS (SELECT coalesce(o.url, n.url) AS url, coalesce(n.given, 0) AS given, CASE WHEN n.url IS NULL THEN o.first_seen ELSE coalesce(nullif(o.first_seen, ''), '{TODAY}') END AS first_seen,
  CASE WHEN n.url IS NULL THEN o.last_seen ELSE '{TODAY}' END AS last_seen, CASE WHEN n.url IS NULL THEN 'unseen' WHEN o.url IS NULL THEN 'added' ELSE 'updated' END AS state
  FROM o FULL JOIN n ON o.url = n.url), e AS (SELECT *, CAST(last_seen AS DATE) < DATE '{TODAY}' - 30 AS expired FROM u)"""
 
@@ -88,30 +86,11 @@ def upsert_retention(spark, d):
     return _upsert(spark, d).where("NOT expired").select(F.col(URL).alias("url"), F.col(FIRST).alias("first_seen"), F.col(LAST).alias("last_seen"), "state")
 
 
-@query(UPSERT + " SELECT count(*) FILTER (state = 'added') AS added, count(*) FILTER (state = 'updated') AS updated, count(*) FILTER (state = 'unseen') AS unseen, count(*) FILTER (expired) AS expired, CAST(0 AS BIGINT) AS undated FROM e")
+@query(UPSERT + ", c AS (SELECT count(*) FILTER (state = 'added') AS added, CAST(sum(given) AS BIGINT) AS seen, count(*) FILTER (NOT expired) AS kept, count(*) FILTER (expired) AS expired FROM e) SELECT added, seen - added AS updated, kept - seen AS unseen, expired, CAST(0 AS BIGINT) AS undated FROM c")
 def upsert_counters(spark, d):
     return merge.counters(_upsert(spark, d))
 
 
-def _upsert_all(spark, d):
-    p = postings(spark, d)
-    return merge.upsert(p.where(F.col(ORD) % 3 != 0), p.where((F.col(ORD) % 2 == 0) | (F.col(ORD) % 3 == 0)), TODAY)
-
-
-#: Both sides together hold every posting.
-UPSERT_ALL = UPSERT.replace("WHERE ord % 2 = 0", "WHERE ord % 2 = 0 OR ord % 3 = 0")
-
-
-@query(UPSERT_ALL + " SELECT url, first_seen, last_seen, state FROM e WHERE NOT expired")
-def upsert_retention_all(spark, d):
-    return _upsert_all(spark, d).where("NOT expired").select(F.col(URL).alias("url"), F.col(FIRST).alias("first_seen"), F.col(LAST).alias("last_seen"), "state")
-
-
-@query(UPSERT_ALL + " SELECT count(*) FILTER (state = 'added') AS added, count(*) FILTER (state = 'updated') AS updated, count(*) FILTER (state = 'unseen') AS unseen, count(*) FILTER (expired) AS expired, CAST(0 AS BIGINT) AS undated FROM e")
-def upsert_counters_all(spark, d):
-    return merge.counters(_upsert_all(spark, d))
-
-
 @query("SELECT url, CASE WHEN ord % 2 = 0 THEN '2026-01-01' ELSE first_seen END AS first_seen FROM p")
 def revive_first_seen(spark, d):
     p = postings(spark, d)
@@ -146,107 +125,194 @@ def filter_excluded_tech(spark, d):
     return renamed(p.where(F.size("names") > 0), "url", "names")
 
 
-@query("SELECT url, unnest(" + hits_sql("title || chr(10) || req || chr(10) || pref", ["License", "Apache"]) + ") AS name FROM p")
+# The rules below are written from the wording of the sites, in the dialect of the SQL engine (no lookaround there).
+BANNED_SQL = {
+    "SI": "(^|[^A-Za-z0-9])SI([^A-Za-z0-9]|$)", "SM": "(^|[^A-Za-z0-9])SM([^A-Za-z0-9]|$)", "병역특례": r"병역\s*특례", "현역": "(^|[^가-힣])현역", "보충역": "보충역",
+    "산업기능요원": r"산업\s*기능\s*요원", "전문연구요원": r"전문\s*연구\s*요원", "고객사": "고객사", "파견": "파견",
+}
+HEAD_SQL = {"헤드헌팅": r"(?i)헤드\s*헌|서치\s*펌|search\s*firm|채용\s*대행|인재\s*서치|리크루팅\s*(펌|회사)"}
+TEXT3 = "title || chr(10) || req || chr(10) || pref"
+
+
+def list_sql(column: str, rules_: dict[str, str]) -> str:
+    return "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({column}, '{p}') THEN '{n}' END" for n, p in rules_.items()) + "], lambda x: x IS NOT NULL)"
+
+
+@query(f"SELECT url, unnest({list_sql(TEXT3, BANNED_SQL)}) AS name FROM p")
 def banned_word_hits(spark, d):
-    return renamed(gates.banned_hits(postings(spark, d), rules.words(["License", "Apache"])), "url", "name")
+    return renamed(gates.banned_hits(postings(spark, d)), "url", "name")
 
 
-@query("SELECT url FROM p WHERE " + " OR ".join(word_sql("tech || chr(10) || req || chr(10) || pref", n) for n in ("Spring Boot", "Spring", "License")))
-def core_tech_gate(spark, d):
-    return renamed(gates.core_tech(postings(spark, d), ["Spring Boot", "License"]).kept, "url")
+CORE_SQL = " OR ".join(word_sql("tech || chr(10) || req || chr(10) || pref", n) for n in ("Spring Boot", "Spring", "License"))
 
 
-CLOSED = r"list_filter(list_filter(list_transform(regexp_split_to_array(career, '\s/\s|\s·\s|,\s'), lambda x: trim(x)), lambda x: x <> ''), lambda x: regexp_matches(x, '\d+\s*년'))[1]"
-OPENED = r"regexp_matches(career, '신입|경력\s*무관|무관|인턴')"
+@query(f"SELECT url FROM p WHERE {CORE_SQL}")
+def core_tech_gate(spark, d):
+    return renamed(gates.core_tech(postings(spark, d), ["Spring Boot", "License"]).kept, "url")
 
 
-@query(f"SELECT url, CASE WHEN {OPENED} THEN NULL ELSE {CLOSED} END AS closed FROM p")
-def career_closed(spark, d):
-    return postings(spark, d).select(F.col(URL).alias("url"), gates.closed_to_newbie(F.col(CAREER)).alias("closed"))
+@query(f"SELECT url, '제외 · 핵심 기술 없음' AS verdict, tech FROM p WHERE NOT ({CORE_SQL})")
+def core_tech_report(spark, d):
+    return renamed(gates.core_tech(postings(spark, d), ["Spring Boot", "License"]).report, "url", "verdict", "tech")
 
 
-def _with_salary_line(p: DataFrame) -> DataFrame:
-    """The salary, as a line that asks for years, after the whole requirements text."""
-    return p.withColumn(REQ, F.concat_ws("\n", REQ, F.regexp_replace(SALARY, "만원", "년")))
+OPEN_SQL = r"신입|무관|미기재|명시\s*없|졸업\s*예정|우대"
+YEARS_SQL = r"[0-9]{1,2}\s*년\s*(이상|차|이후|부터)|[0-9]{1,2}\s*년\s*[~\-–]\s*[0-9]{1,2}\s*년|[0-9]{1,2}\s*[~\-–]\s*[0-9]{1,2}\s*년|경력\s*[(\s]*[0-9]{1,2}"
+PARTS_SQL = r"list_filter(list_transform(regexp_split_to_array(trim(career), '\s/\s|\s·\s|,\s'), lambda x: trim(x)), lambda x: x <> '')"
+CLOSED = f"CASE WHEN len(list_filter({PARTS_SQL}, lambda x: regexp_matches(x, '{OPEN_SQL}'))) = 0 THEN list_filter({PARTS_SQL}, lambda x: regexp_matches(x, '{YEARS_SQL}'))[1] END"
 
 
-@query("SELECT url FROM p WHERE regexp_matches(replace(career, ' ', ''), '^(신입|경력무관)') AND regexp_matches(career || chr(10) || salary, '\\d+\\s*만')")
-def career_contradiction_candidates(spark, d):
-    p = _with_salary_line(postings(spark, d))
-    return renamed(p.where(gates.career_candidate()), "url")
+@query(f"SELECT url, {CLOSED} AS closed FROM p")
+def career_closed(spark, d):
+    return postings(spark, d).select(F.col(URL).alias("url"), wording.closed_to_newbie(F.col(CAREER)).alias("closed"))
 
 
-SIGNALS = "the|and|der|que"
+NEWBIE_SQL = "regexp_matches(replace(career, ' ', ''), '^(신입|경력무관)')"
+DEMAND_SQL = r"(경력|경험|근무|실무)[^\n]{0,12}?[0-9]{1,2}\s*(년|개월)\s*(이상|이후|차|정도|내외|~)|[0-9]{1,2}\s*(년|개월)\s*(이상|차)[^\n]{0,10}?(경력|경험|근무|실무)|경력\s*직|[0-9]{1,2}\s*[~-]\s*[0-9]{1,2}\s*년"
+LINE_SQL = f"trim(list_filter(string_split(req, chr(10)), lambda x: regexp_matches(x, '{DEMAND_SQL}') AND NOT regexp_matches(x, '신입|무관|우대|졸업\\s*예정'))[1])"
 
 
-@query(f"SELECT url, list_distinct_ordered AS found FROM (SELECT url, list_filter(regexp_extract_all(title, '({SIGNALS})', 1), lambda x, i: list_position(regexp_extract_all(title, '({SIGNALS})', 1), x) = i) AS list_distinct_ordered FROM p)")
+@query(f"SELECT url, {LINE_SQL} AS line FROM p WHERE {NEWBIE_SQL} AND {LINE_SQL} IS NOT NULL")
+def career_contradiction_candidates(spark, d):
+    p = postings(spark, d).withColumn("line", wording.contradiction_line(F.col(CAREER), F.col(REQ)))
+    return renamed(p.where("line IS NOT NULL"), "url", "line")
+
+
+def uniq_sql(items: str) -> str:
+    """The distinct items of a list in order."""
+    return f"list_filter({items}, lambda x, i: list_position({items}, x) = i)"
+
+
+SPOKEN = "list_transform({found}, lambda x: regexp_replace(x, '\\s+', ' ', 'g'))"
+MIXED_SQL = r"각\s*부문|부문\s*별|분야\s*별|직군\s*별|각\s*분야|모집\s*분야|공개\s*채용|집중\s*채용|수시\s*채용|통합\s*채용|채용\s*통합|전\s*부문|부문\s*채용"
+TITLE_SQL = uniq_sql(SPOKEN.format(found=f"regexp_extract_all(title, '{MIXED_SQL}')"))
+COMMON_SQL, RARE_SQL = r"len(regexp_extract_all(body, '모집\s*부문|모집\s*분야'))", uniq_sql(SPOKEN.format(found=r"regexp_extract_all(body, '채용\s*부문|채용\s*분야|모집\s*직무|부문\s*안내|직군\s*안내')"))
+BODY_SQL = f"list_filter([CASE WHEN {COMMON_SQL} >= 2 THEN '본문에 부문 낱말 ' || {COMMON_SQL} || '회' END, CASE WHEN len({RARE_SQL}) > 0 THEN '본문에 ' || array_to_string({RARE_SQL}, ' ') END], lambda x: x IS NOT NULL)"
+#: Borders of words: Hangul counts as part of one.
+AT, END = r"(^|[^\p{L}\p{N}_])", r"([^\p{L}\p{N}_]|$)"
+FOREIGN_SQL = {
+    "데이터엔지니어": rf"(?i)데이터[\s가-힣]{{0,4}}엔지니어|Data\s*Engineer|{AT}ETL{END}|데이터\s*파이프라인", "데브옵스": rf"(?i)DevOps|데브옵스|{AT}SRE{END}|인프라\s*엔지니어|클라우드\s*(시스템\s*)?엔지니어",
+    "머신러닝": rf"(?i)Machine\s*Learning|{AT}ML\s*Engineer|머신\s*러닝|딥\s*러닝|Researcher", "보안": r"보안\s*(엔지니어|솔루션|개발|관제|컨설)|정보\s*보안|침해\s*대응|취약점\s*진단",
+    "QA": r"(?i)(^|[^A-Za-z])QA([^A-Za-z]|$)|테스트\s*엔지니어|품질\s*보증", "임베디드": rf"(?i)임베디드|펌웨어|Firmware|{AT}MCU{END}|{AT}RTOS{END}",
+    "앱": r"(?i)안드로이드|Android|(^|[^A-Za-z])iOS([^A-Za-z]|$)|앱\s*개발|Flutter|모바일\s*개발", "퍼블리셔": r"퍼블리셔|마크업\s*개발", "DBA": "(?i)(^|[^A-Za-z])DBA([^A-Za-z]|$)",
+    "블록체인": "(?i)블록체인|Blockchain", "기술지원": r"(?i)Forward\s*Deployed|기술\s*지원\s*엔지니어|솔루션\s*엔지니어|필드\s*엔지니어",
+}
+MINE_SQL = rf"(?i)백엔드|Back[\s-]?end|서버\s*개발|웹\s*개발|웹\s*서비스\s*개발|풀스택|Full[\s-]?stack|프론트|Front[\s-]?end|웹\s*프로그래머|Java|Spring|Node|Django|FastAPI|{AT}PHP{END}|Nest"
+UNCLEAR_SQL = f"CASE WHEN NOT regexp_matches(title, '{MINE_SQL}') THEN CASE WHEN len({list_sql('title', FOREIGN_SQL)}) > 0 THEN '제목이 다른 직군: ' || array_to_string({list_sql('title', FOREIGN_SQL)}, ' · ') ELSE '제목에 내 직군 낱말이 없다' END END"
+SECTIONS_SQL = "CASE WHEN trim(split_part(req, '[인재상 (별도표기)]', 1)) = '' AND length(body) >= 400 THEN '지원자격이 빔 · 본문 ' || length(body) || '자' END"
+
+
+@query(f"SELECT url, {TITLE_SQL} AS found FROM p")
 def role_title_hits(spark, d):
-    return postings(spark, d).select(F.col(URL).alias("url"), gates.title_hits(F.col(TITLE), SIGNALS).alias("found"))
+    return postings(spark, d).select(F.col(URL).alias("url"), wording.title_hits(F.col(TITLE)).alias("found"))
 
 
-@query("SELECT url, CASE WHEN len(regexp_extract_all(req, '(License)', 1)) >= 2 THEN ['License'] ELSE [] END || CASE WHEN len(regexp_extract_all(req, '(Apache)', 1)) >= 1 THEN ['Apache'] ELSE [] END AS found FROM p")
+@query(f"SELECT url, {BODY_SQL} AS found FROM p")
 def role_body_hits(spark, d):
-    return postings(spark, d).select(F.col(URL).alias("url"), gates.body_hits(F.col(REQ), "License", "Apache").alias("found"))
+    return bodies(spark, d).select("url", wording.body_hits(F.col("body")).alias("found"))
 
 
-@query("SELECT url, CASE WHEN regexp_matches(title, 'the') THEN NULL WHEN regexp_matches(title, 'der') THEN 'der' ELSE '직무 이름 없음' END AS reason FROM p")
+@query(f"SELECT url, {UNCLEAR_SQL} AS reason FROM p")
 def role_title_unclear(spark, d):
-    return postings(spark, d).select(F.col(URL).alias("url"), gates.title_unclear(F.col(TITLE), "the", "der").alias("reason"))
+    return postings(spark, d).select(F.col(URL).alias("url"), wording.title_unclear(F.col(TITLE)).alias("reason"))
 
 
-@query("SELECT url FROM p WHERE trim(req) = '' AND length(pref) >= 400")
+@query(f"SELECT url, {SECTIONS_SQL} AS why FROM p WHERE {SECTIONS_SQL} IS NOT NULL")
 def role_needs_sections(spark, d):
-    return renamed(postings(spark, d).where(gates.needs_sections(F.col(PREF))), "url")
+    p = gates.with_bodies(postings(spark, d), bodies(spark, d)).withColumn("why", wording.needs_sections(F.col(REQ), F.col("body")))
+    return renamed(p.where("why IS NOT NULL"), "url", "why")
 
 
 def _verdicts(spark, d, *columns):
     return table(spark, d, "labels").select(F.concat(F.lit("https://x/"), F.col("doc_id").cast("string")).alias("url"), *columns)
 
 
-@query("SELECT url FROM p LEFT JOIN labels l ON p.ord = l.doc_id WHERE NOT coalesce(l.quality = 0 AND trim(p.pref) <> '', false)")
+def _role_verdicts(spark, d):
+    """Half of the judged rows are sure; what they say overwrites."""
+    texts = {"tech": "Python(FastAPI), 없는 것", "req": "- 골라 낸 요건", "pref": "", "career": "3년 이상"}
+    return _verdicts(spark, d, F.lit(4).alias("rules_version"), (F.col("quality") > 0).alias("fits"), (F.col("doc_id") % 2 == 0).alias("sure"), *[F.lit(v).alias(c) for c, v in texts.items()])
+
+
+def _role_fills(spark, d):
+    return _verdicts(spark, d, F.lit(4).alias("rules_version"), F.lit("").alias("tech"), F.when(F.col("doc_id") % 3 == 0, "").otherwise("- 다시 읽은 요건").alias("req"), F.lit("").alias("pref"), F.lit("").alias("career"))
+
+
+KNOWN = ["Java", "Spring Boot", "JavaScript", "React", "PHP", "Python", "FastAPI", "Django", "Kotlin", "Go", "Docker"]
+
+
+def _matcher():
+    return skills.Matcher(KNOWN)
+
+
+VALUES_SQL = "CASE WHEN contains(req, '[인재상 (별도표기)]') THEN chr(10) || '[인재상 (별도표기)]' || rtrim(split_part(req, '[인재상 (별도표기)]', 2)) ELSE '' END"
+
+
+def role_sql(source: str) -> str:
+    """Every row of `source` with says, and the four columns as the gate leaves them."""
+    return f"""SELECT * REPLACE (
+  CASE WHEN says = '남김 · 부문 골라 덮어씀' THEN 'Python, FastAPI' ELSE tech END AS tech, CASE WHEN says = '남김 · 부문 골라 덮어씀' THEN '3년 이상' ELSE career END AS career,
+  CASE WHEN says = '남김 · 부문 골라 덮어씀' THEN '- 골라 낸 요건' || {VALUES_SQL} WHEN says = '남김 · 절 복구' THEN '- 다시 읽은 요건' || {VALUES_SQL} ELSE req END AS req) FROM (
+ SELECT *, CASE WHEN asked AND body = '' THEN '남김 · 본문 없음' WHEN asked AND doc_id IS NULL THEN '남김 · 판정 실패' WHEN asked AND NOT coalesce(quality > 0, false) THEN '제외 · 내 직군 없음'
+   WHEN asked AND ord % 2 = 1 THEN '남김 · 부문 내용 없음' WHEN asked THEN '남김 · 부문 골라 덮어씀' WHEN why IS NULL THEN NULL WHEN doc_id IS NULL THEN '남김 · 절 복구 실패' WHEN ord % 3 = 0 THEN '남김 · 절 복구 · 못 찾음' ELSE '남김 · 절 복구' END AS says
+ FROM (SELECT s.*, l.doc_id, l.quality, l.toxic, {SECTIONS_SQL} AS why, (len({TITLE_SQL}) + len({BODY_SQL}) > 0 OR ({UNCLEAR_SQL}) IS NOT NULL) AS asked FROM {source} s LEFT JOIN labels l ON s.ord = l.doc_id))"""
+
+
+@query(f"SELECT url, says AS verdict, md5(req) AS req, tech, career FROM ({role_sql('p')})")
 def role_gate_apply(spark, d):
-    p = postings(spark, d)
-    v = _verdicts(spark, d, F.lit(4).alias("rules_version"), (F.col("quality") > 0).alias("fits"), F.lit(True).alias("sure"), *[F.lit("").alias(c) for c in ("tech", "req", "pref", "career")])
-    return renamed(gates.role(p, v, p.select(F.col(URL).alias("url"), F.col(PREF).alias("body"))).kept, "url")
+    g = gates.role(postings(spark, d), _role_verdicts(spark, d), bodies(spark, d), _role_fills(spark, d), matcher=_matcher())
+    return renamed(g.rows, "url", "verdict", "req", "tech", "career").withColumn("req", F.md5("req"))
+
+
+def _career_verdicts(spark, d):
+    return _verdicts(spark, d, F.lit(2).alias("rules_version"), (F.col("toxic") == 1).alias("contradiction"), F.lit("").alias("basis"))
+
+
+def career_sql(source: str) -> str:
+    return f"SELECT s.*, coalesce({NEWBIE_SQL} AND {LINE_SQL} IS NOT NULL AND l.toxic = 1, false) AS goes FROM {source} s LEFT JOIN labels l ON s.ord = l.doc_id"
 
 
-@query("SELECT url FROM p LEFT JOIN labels l ON p.ord = l.doc_id WHERE NOT coalesce(l.toxic = 1 AND regexp_matches(replace(career, ' ', ''), '^(신입|경력무관)') AND salary <> '', false)")
+@query(f"SELECT url FROM ({career_sql('p')}) WHERE NOT goes")
 def career_gate_apply(spark, d):
-    p = _with_salary_line(postings(spark, d))
-    v = _verdicts(spark, d, F.lit(2).alias("rules_version"), (F.col("toxic") == 1).alias("contradiction"), F.lit("").alias("basis"))
-    return renamed(gates.career(p, v).kept, "url")
+    return renamed(gates.career(postings(spark, d), _career_verdicts(spark, d)).kept, "url")
 
 
-@query(f""", c AS (SELECT p.*, {KEY} || '-' || (ord % 50) AS k, ord % 3 <> 0 AS cand, l.doc_id IS NOT NULL AS judged, l.toxic = 1 AS firm, l.quality = 0 AS onsite FROM p LEFT JOIN labels l ON p.ord = l.doc_id),
-s AS (SELECT k, bool_or(coalesce(cand AND judged AND firm, false)) AS hot FROM c GROUP BY k)
-SELECT url, CASE WHEN cand AND judged AND (coalesce(firm, false) OR hot OR coalesce(onsite, false)) THEN '제외' ELSE '유지' END AS verdict FROM c JOIN s USING (k) WHERE cand""")
-def nuance_propagation(spark, d):
-    p = postings(spark, d).withColumn(COMPANY, F.concat(F.col(COMPANY), F.lit("-"), (F.col(ORD) % 50).cast("string")))
-    v = _verdicts(spark, d, F.lit(4).alias("rules_version"), (F.col("toxic") == 1).alias("firm"), (F.col("quality") == 0).alias("onsite"), F.lit(False).alias("military"), F.lit(False).alias("headhunt"), F.lit("").alias("basis"))
-    return renamed(gates.nuance(p, v, F.col(ORD) % 3 != 0).report, "url", "verdict")
+def _nuance_verdicts(spark, d):
+    marks = {"firm": (F.col("toxic") == 1) & (F.col("doc_id") % 7 == 0), "onsite": F.col("quality") == 0, "military": F.lit(False), "headhunt": (F.col("toxic") == 1) & (F.col("doc_id") % 7 == 1)}
+    return _verdicts(spark, d, F.lit(4).alias("rules_version"), *[v.alias(c) for c, v in marks.items()], F.lit("").alias("basis"))
+
+
+HITS_SQL = f"list_sort(list_distinct({list_sql(TEXT3, BANNED_SQL | HEAD_SQL)} || {list_sql('body', BANNED_SQL | HEAD_SQL)}))"
 
 
-@query(f""", c AS (SELECT p.*, {KEY} AS k, l.doc_id IS NOT NULL AS judged, l.toxic = 1 AS firm, l.quality = 0 AS onsite FROM p LEFT JOIN labels l ON p.ord = l.doc_id),
-s AS (SELECT k, bool_or(coalesce(judged AND firm, false)) AS hot FROM c GROUP BY k)
-SELECT url, CASE WHEN judged AND (coalesce(firm, false) OR (hot AND k <> '') OR coalesce(onsite, false)) THEN '제외' ELSE '유지' END AS verdict FROM c JOIN s USING (k)""")
-def nuance_propagation_all(spark, d):
-    v = _verdicts(spark, d, F.lit(4).alias("rules_version"), (F.col("toxic") == 1).alias("firm"), (F.col("quality") == 0).alias("onsite"), F.lit(False).alias("military"), F.lit(False).alias("headhunt"), F.lit("").alias("basis"))
-    return renamed(gates.nuance(postings(spark, d), v, F.lit(True)).report, "url", "verdict")
+def nuance_sql(source: str) -> str:
+    """Every row of `source` with says and reason (null: no unwanted word)."""
+    return f"""SELECT *, CASE WHEN NOT cand THEN NULL WHEN NOT judged THEN '남김 · 판정 실패' WHEN reasons <> '' THEN '제외 · 피할 자리' ELSE '남김 · 결격 아님' END AS says,
+  reasons || CASE WHEN reasons <> '' AND ((firm_all AND NOT firm) OR (head_all AND NOT head)) THEN ' (같은 회사의 다른 공고에서 판정)' ELSE '' END AS reason FROM (
+ SELECT *, array_to_string(list_filter([CASE WHEN firm_all THEN 'SI/SM 업체' END, CASE WHEN onsite THEN '상주·파견' END, CASE WHEN head_all THEN '헤드헌팅' END], lambda x: x IS NOT NULL), ' · ') AS reasons FROM (
+  SELECT *, judged AND bool_or(firm) OVER (PARTITION BY key) AS firm_all, judged AND bool_or(head) OVER (PARTITION BY key) AS head_all FROM (
+   SELECT *, coalesce(judged AND toxic = 1 AND ord % 7 = 0, false) AS firm, coalesce(judged AND toxic = 1 AND ord % 7 = 1, false) AS head, coalesce(judged AND quality = 0, false) AS onsite FROM (
+    SELECT *, cand AND doc_id IS NOT NULL AS judged FROM (SELECT s.*, l.doc_id, l.quality, l.toxic, {KEY} AS key, {HITS_SQL} AS words, len({HITS_SQL}) > 0 AS cand
+     FROM {source} s LEFT JOIN labels l ON s.ord = l.doc_id)))))"""
 
 
-RATED = "r AS (SELECT DISTINCT {k} AS k, CAST(strlen({k}) * 7 % 10 AS DOUBLE) / 2 AS rating FROM p WHERE {k} <> 'fr')".format(k=KEY)
+@query(f"SELECT url, says AS verdict, reason, array_to_string(words, ', ') AS words FROM ({nuance_sql('p')}) WHERE says IS NOT NULL")
+def nuance_propagation(spark, d):
+    return renamed(gates.nuance(postings(spark, d), _nuance_verdicts(spark, d), bodies(spark, d)).report, "url", "verdict", "reason", "words")
+
+
+RATED = "r AS (SELECT DISTINCT {k} AS k, CAST(ascii({k}) * 7 % 10 AS DOUBLE) / 2 AS rating FROM p WHERE {k} <> 'fr')".format(k=KEY)
+RATING_SQL = "CASE WHEN r.rating IS NULL THEN '제외 · 잡플래닛에서 못 찾음' WHEN r.rating = 0 THEN '제외 · 평점 없음' WHEN r.rating < 2.9 THEN '제외 · 평점 ' || printf('%.1f', r.rating) ELSE '남김 · 평점 ' || printf('%.1f', r.rating) END"
 
 
 def _ratings(p):
     key = text.company_key(F.col(COMPANY))
-    return p.select(key.alias("company_key")).distinct().where("company_key <> 'fr'").withColumn("rating", F.octet_length("company_key") * 7 % 10 / 2)
+    return p.select(key.alias("company_key")).distinct().where("company_key <> 'fr'").withColumn("rating", F.ascii("company_key") * 7 % 10 / 2)
 
 
-@query(f", {RATED} SELECT url, CASE WHEN r.rating IS NULL THEN '제외 · 못 찾음' WHEN r.rating = 0 THEN '제외 · 평점 없음' WHEN r.rating < 2.9 THEN '제외 · 평점 ' || printf('%.1f', r.rating) ELSE '유지' END AS verdict FROM p LEFT JOIN r ON {KEY} = r.k")
+@query(f", {RATED} SELECT url, {RATING_SQL} AS verdict FROM p LEFT JOIN r ON {KEY} = r.k")
 def rating_gate(spark, d):
     p = postings(spark, d)
-    g = gates.rating(p, _ratings(p))
-    return renamed(g.report, "url", "verdict").unionByName(renamed(g.kept, "url").withColumn("verdict", F.lit(gates.KEPT)))
+    return renamed(gates.rating(p, _ratings(p)).report, "url", "verdict")
 
 
 def _candidates(spark, d):
@@ -268,13 +334,32 @@ def rating_same_names(spark, d):
     return many.select("company_key", F.inline("found"))
 
 
-@query("""WITH v AS (SELECT CAST(c_custkey AS VARCHAR) AS company_key, unnest([c_name, upper(c_name), c_mktsegment]) AS variant, unnest([0, 1, 2]) AS pos FROM customer),
-i AS (SELECT DISTINCT upper(c_name) AS name FROM customer WHERE c_custkey % 2 = 0 UNION SELECT DISTINCT c_mktsegment FROM customer)
-SELECT company_key, CAST(min(pos) AS INTEGER) AS pos, arg_min(variant, pos) AS variant FROM v JOIN i ON v.variant = i.name GROUP BY company_key""", view=False)
+#: Company names with what the forms are about: a legal form, parentheses and blanks.
+NAMES_SQL = "CASE c_custkey % 4 WHEN 0 THEN '(주)' || c_name WHEN 1 THEN c_name || ' (' || c_mktsegment || ') Lab' WHEN 2 THEN '주식회사  ' || c_name ELSE c_name || ' Korea' END"
+FORMS_SQL = r"""f AS (SELECT company_key, raw, bare, trim(regexp_replace(regexp_replace(bare, '\s*[\(（][^)）]*[\)）]', '', 'g'), '\s+', ' ', 'g')) AS outside, trim(regexp_extract(bare, '\s*[\(（][^)）]*[\)）]'), ' ()（）') AS inside
+ FROM (SELECT company_key, raw, trim(regexp_replace(regexp_replace(raw, '주식회사|㈜|\(주\)', '', 'g'), '\s+', ' ', 'g'), ' -·,') AS bare FROM n)),
+l AS (SELECT company_key, [raw, bare, regexp_replace(bare, '\s+', '', 'g'), outside, regexp_replace(outside, '\s+', '', 'g'), inside, CASE WHEN contains(outside, ' ') THEN split_part(outside, ' ', 1) ELSE '' END, '(주)' || regexp_replace(outside, '\s+', '', 'g')] AS vs,
+  ['원문', '법인표기 제거', '공백 제거', '괄호 제거', '괄호+공백 제거', '괄호 안쪽', '첫 어절', '법인표기 추가'] AS hows FROM f),
+v AS (SELECT company_key, variant, how, row_number() OVER (PARTITION BY company_key ORDER BY k) - 1 AS pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY company_key, lower(variant) ORDER BY k) AS rep FROM (SELECT company_key, unnest(vs) AS variant, unnest(hows) AS how, unnest(range(8)) AS k FROM l) WHERE length(variant) >= 2) WHERE rep = 1)"""
+
+
+def _names(c):
+    k = F.col("c_custkey") % 4
+    named = F.when(k == 0, F.concat(F.lit("(주)"), "c_name")).when(k == 1, F.concat("c_name", F.lit(" ("), "c_mktsegment", F.lit(") Lab"))).when(k == 2, F.concat(F.lit("주식회사  "), "c_name")).otherwise(F.concat("c_name", F.lit(" Korea")))
+    return c.select(F.col("c_custkey").cast("string").alias("company_key"), text.variants(named).alias("forms")).select("company_key", F.posexplode("forms").alias("pos", "form")).select("company_key", "pos", "form.variant", "form.how")
+
+
+@query(f"WITH n AS (SELECT CAST(c_custkey AS VARCHAR) AS company_key, {NAMES_SQL} AS raw FROM customer), {FORMS_SQL} SELECT company_key, CAST(pos AS INTEGER) AS pos, variant, how FROM v", view=False)
+def name_variants(spark, d):
+    return _names(table(spark, d, "customer"))
+
+
+@query(f"WITH n AS (SELECT CAST(c_custkey AS VARCHAR) AS company_key, {NAMES_SQL} AS raw FROM customer), {FORMS_SQL}, i AS (SELECT DISTINCT c_name AS name FROM customer WHERE c_custkey % 3 = 0 UNION SELECT DISTINCT c_mktsegment FROM customer) SELECT company_key, CAST(min(pos) AS INTEGER) AS pos, arg_min(variant, pos) AS variant FROM v JOIN i ON v.variant = i.name GROUP BY company_key", view=False)
 def rating_ladder(spark, d):
     c = table(spark, d, "customer")
-    v = c.select(F.col("c_custkey").cast("string").alias("company_key"), F.posexplode(F.array("c_name", F.upper("c_name"), "c_mktsegment")).alias("pos", "variant"))
-    return gates.ladder(v, c.where("c_custkey % 2 = 0").select(F.upper("c_name").alias("name")).unionByName(c.select(F.col("c_mktsegment").alias("name"))))
+    index = c.where("c_custkey % 3 = 0").select(F.col("c_name").alias("name")).unionByName(c.select(F.col("c_mktsegment").alias("name")))
+    return gates.ladder(_names(c), index)
 
 
 @query("SELECT url, 'https://img/a.png' AS key FROM p WHERE tech LIKE '%https://%'")
@@ -282,10 +367,25 @@ def image_rows(spark, d):
     return postings(spark, d).withColumn("key", F.array_join(gates.image_parts(F.col(TECH)), " ")).where("key <> ''").select(F.col(URL).alias("url"), "key")
 
 
-@query("SELECT url, CASE WHEN tech LIKE '%https://%' THEN 'Go, Docker' ELSE tech END AS tech FROM p")
+def _reads(spark):
+    return spark.createDataFrame([("https://img/a.png", ["go(Docker)", "no such name"], ["Licensed"], [], ["성실"])], "key string, tech array<string>, req array<string>, pref array<string>, `values` array<string>")
+
+
+LACKS_SQL = "len(list_filter(string_split(req, chr(10)), lambda x: contains(regexp_replace(lower(x), '[^\\p{L}\\p{N}]+', '', 'g'), 'licensed'))) = 0"
+BARE_SQL = "regexp_replace(req, '^\\s+|\\s+$', '', 'g')"
+
+
+def image_sql(source: str) -> str:
+    """Rows of `source` with what the images gave: a requirement that no line has yet, and values under their heading."""
+    added = f"CASE WHEN {LACKS_SQL} THEN {BARE_SQL} || CASE WHEN {BARE_SQL} = '' THEN '' ELSE chr(10) END || '• Licensed' ELSE {BARE_SQL} END"
+    full = f"{added} || CASE WHEN contains(req, '[인재상 (별도표기)]') THEN '' ELSE chr(10) || '[인재상 (별도표기)]' || chr(10) || '• 성실' END"
+    return f"SELECT * REPLACE (CASE WHEN tech LIKE '%https://%' THEN 'Go, Docker' ELSE tech END AS tech, CASE WHEN tech LIKE '%https://%' THEN {full} ELSE req END AS req) FROM {source}"
+
+
+@query(f"SELECT url, tech, md5(req) AS req FROM ({image_sql('p')})")
 def image_fill_apply(spark, d):
-    reads = spark.createDataFrame([("https://img/a.png", ["go(Docker)", "no such name"], ["Licensed"], [])], "key string, tech array<string>, req array<string>, pref array<string>")
-    return renamed(gates.image_fill(postings(spark, d), reads, skills.Matcher(["Go", "Docker"])).kept, "url", "tech")
+    g = gates.image_fill(postings(spark, d), _reads(spark), _matcher())
+    return renamed(g.kept, "url", "tech", "req").withColumn("req", F.md5("req"))
 
 
 @query("SELECT url, md5(CASE WHEN ord % 2 = 0 AND trim(pref) <> '' THEN substring(trim(pref, E' \\n'), 1, 50000) ELSE substring(trim(req, E' \\n'), 1, 50000) END) AS body FROM p WHERE trim(req) <> '' OR (ord % 2 = 0 AND trim(pref) <> '')")
@@ -400,24 +500,116 @@ def listing_dedup_pages(spark, d):
     return dedup.keep_first(p, "url").select("url", "page_id")
 
 
-@query("SELECT o_orderkey, CASE WHEN lo = hi THEN format('{:,}만원', lo) ELSE format('{:,}만원 ~ {:,}만원', lo, hi) END AS salary FROM (SELECT o_orderkey, CAST(floor(o_totalprice * 100 / 10000) AS BIGINT) AS lo, CAST(floor(o_totalprice * 200 / 10000) AS BIGINT) AS hi FROM orders)", view=False)
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN '연봉 ' WHEN 1 THEN '월급 ' ELSE '' END || CASE WHEN lo = hi THEN format('{:,}만원', lo) ELSE format('{:,}~{:,}만원', lo, hi) END AS salary
+FROM (SELECT o_orderkey, CAST(floor(o_totalprice) * 100 AS BIGINT) // 10000 AS lo, CASE WHEN o_orderkey % 2 = 0 THEN CAST(floor(o_totalprice) * 200 AS BIGINT) // 10000 ELSE CAST(floor(o_totalprice) * 100 AS BIGINT) // 10000 END AS hi FROM orders)""", view=False)
 def salary_range(spark, d):
-    o = table(spark, d, "orders")
-    return o.select("o_orderkey", sites.salary_range(F.col("o_totalprice") * 100, F.col("o_totalprice") * 200).alias("salary"))
+    period = F.when(F.col("o_orderkey") % 3 == 0, "year").when(F.col("o_orderkey") % 3 == 1, "MONTH")
+    price = F.floor("o_totalprice")
+    return table(spark, d, "orders").select("o_orderkey", sites.salary_range(period, F.lit(None).cast("double"), price * 100, F.when(F.col("o_orderkey") % 2 == 0, price * 200).otherwise(0)).alias("salary"))
 
 
-@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m-%d') ELSE '상시채용' END AS deadline FROM orders", view=False)
+@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m-%d') ELSE '채용시 마감' END AS deadline FROM orders", view=False)
 def deadline_normalise(spark, d):
     k, t = F.col("o_orderkey") % 3, F.col("o_orderdate")
-    raw = F.when(k == 0, F.date_format(t, "yyyy.M.d")).when(k == 1, F.date_format(t, "~ M/d")).otherwise("open")
-    return table(spark, d, "orders").select("o_orderkey", sites.deadline(raw).alias("deadline"))
+    valid, listed = F.when(k == 0, F.date_format(t, "yyyy-MM-dd'T'00:00")), F.when(k == 1, F.concat(F.lit(" ~ "), F.date_format(t, "M / d"), F.lit("(금)"))).otherwise(" 채용시   마감 ")
+    return table(spark, d, "orders").select("o_orderkey", sites.jobkorea_deadline(valid, listed).alias("deadline"))
 
 
-@query("""WITH b AS (SELECT p_partkey, p_size % 12 AS a, (p_size * 7) % 15 AS c FROM part), o AS (SELECT p_partkey, CASE WHEN c > 0 AND c < a THEN c ELSE a END AS a, CASE WHEN c > 0 AND c < a THEN a ELSE c END AS c FROM b)
-SELECT p_partkey, CASE WHEN a = 0 AND c <= 0 THEN '경력무관' WHEN a = 0 THEN '신입-경력 ' || c || '년 이하' WHEN c <= 0 THEN '경력 ' || a || '년 이상' WHEN a = c THEN '경력 ' || a || '년' ELSE '경력 ' || a || '-' || c || '년' END AS career FROM o""", view=False)
+@query("""WITH b AS (SELECT p_partkey, nullif(p_size % 12 - 1, -1) AS a, CASE p_size * 7 % 15 WHEN 0 THEN NULL WHEN 14 THEN 100 ELSE p_size * 7 % 15 END AS c FROM part),
+o AS (SELECT p_partkey, a IS NULL AND c IS NULL AS none, coalesce(CASE WHEN a > c THEN c ELSE a END, 0) AS lo, CASE WHEN a > c THEN a ELSE c END AS hi FROM b)
+SELECT p_partkey, CASE WHEN none THEN '경력무관' WHEN hi IS NULL OR hi >= 100 THEN CASE WHEN lo = 0 THEN '신입' ELSE lo || '년 이상' END WHEN lo = 0 AND hi = 0 THEN '신입' WHEN lo = 0 THEN '신입~' || hi || '년' WHEN lo = hi THEN lo || '년' ELSE lo || '~' || hi || '년' END AS career FROM o""", view=False)
 def career_format(spark, d):
-    p = table(spark, d, "part")
-    return p.select("p_partkey", sites.career_range(F.col("p_size") % 12, F.col("p_size") * 7 % 15).alias("career"))
+    low, c = F.col("p_size") % 12 - 1, F.col("p_size") * 7 % 15
+    return table(spark, d, "part").select("p_partkey", sites.career_range(low, F.when(c == 14, 100).when(c != 0, c)).alias("career"))
+
+
+# Rows of the sites, from payloads that every document makes; expected values are written down field by field.
+
+
+def _payload(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 2).alias("k"), (F.col("doc_id") % 3).alias("j"), F.coalesce("source", F.lit("")).alias("company"))
+
+
+def _columns(df, *extra):
+    return renamed(df, "url", "site", "company", "title", "deadline", "req", "pref", "career", "salary", "tech", "place")
+
+
+PAYLOAD = "WITH d AS (SELECT doc_id AS id, doc_id % 2 AS k, doc_id % 3 AS j, coalesce(source, '') AS company FROM documents)"
+
+
+@query(PAYLOAD + """ SELECT 'https://www.wanted.co.kr/wd/' || id AS url, 'wanted' AS site, company, '백엔드' AS title, CASE k WHEN 0 THEN '2026-09-30' ELSE '상시채용' END AS deadline, 'Java17 경험' AS req, '' AS pref,
+ CASE j WHEN 0 THEN '신입~5년' WHEN 1 THEN '경력무관' ELSE '3년 이상' END AS career, '' AS salary, 'Python, Zig, Java, Docker' AS tech, CASE k WHEN 0 THEN '서울 강남구 · 테헤란로 1' ELSE '서울 강남구 역삼동' END AS place FROM d""", view=False)
+def wanted_rows(spark, d):
+    p = _payload(spark, d)
+    k, j = F.col("k") == 0, F.col("j")
+    df = p.select(
+        "id", F.struct(F.col("company").alias("name")).alias("company"), F.struct(F.lit(" 백엔드 ").alias("position"), F.lit("Java17 경험\n").alias("requirements"), F.lit(None).cast("string").alias("preferred_points"), F.lit("docker 운영").alias("main_tasks")).alias("detail"),
+        F.when(k, "2026-09-30T00:00:00").alias("due_time"), F.when(j == 0, 0).when(j == 2, 3).alias("annual_from"), F.when(j == 0, 5).when(j == 2, 100).alias("annual_to"),
+        F.struct(F.lit("서울").alias("location"), F.lit("강남구").alias("district"), F.when(k, "테헤란로 1").otherwise("서울 강남구 역삼동").alias("full_location")).alias("address"),
+        F.array(*[F.struct(F.lit(x).alias("text")) for x in ("python", "Zig", "풀스택")]).alias("skill_tags"),
+    )
+    return _columns(sites.wanted_row(df, skills.Matcher(KNOWN, rejected={"풀스택"})))
+
+
+@query(PAYLOAD + """ SELECT 'https://www.saramin.co.kr/zf_user/jobs/view?rec_idx=' || id AS url, 'saramin' AS site, company, '공고' AS title, CASE k WHEN 0 THEN '2026-09-03' ELSE '09-05' END AS deadline, 'Java 3년' || chr(10) || '학사' AS req, 'Docker & Go' AS pref,
+ '신입 · 경력' AS career, CASE k WHEN 0 THEN '연봉 3,000만원' ELSE '' END AS salary, 'Python, Java, Docker, Go, https://i/x.png' AS tech, CASE k WHEN 0 THEN '서울 강남구' ELSE '부산' END AS place FROM d""", view=False)
+def saramin_rows(spark, d):
+    k = F.col("k") == 0
+    top = F.when(k, "<dl><dt> 급여 </dt><dd>연봉 <b>3,000</b> 만원 이상</dd><dt>근무지역</dt><dd>서울 강남구 지도보기</dd></dl><b>마감일</b> 2026.09.03").otherwise("<dl><dt>급여</dt><dd>면접 후 결정</dd></dl>")
+    tag = F.lit('<a href="/zf_user/jobs/list/job-category?cat_kewd=235" class="t">#파이썬</a><a href="/zf_user/jobs/list/job-category?cat_kewd=9">#x</a>')
+    body = F.lit('<div class="user_content jobsViewDetail_1"><div><p>자격요건</p><p>Java 3년</p><!-- x --><p style="display:none">PHP</p><p>학사</p></div><p>우대사항</p><p>Docker &amp; Go</p><p>복리후생</p>밥</div><p>React</p>')
+    df = _payload(spark, d).select(F.col("id").alias("rec_idx"), "company", F.lit("공고").alias("title"), F.lit("~ 9/5(토)").alias("deadline"), F.lit("신입 · 경력 ·  정규직 외").alias("career"), F.lit("부산").alias("place"), F.concat(top, tag, body).alias("page"), F.array(F.lit("https://i/x.png")).alias("image_urls"))
+    return _columns(sites.saramin_row(df, _matcher(), {"235": "python"}))
+
+
+@query(PAYLOAD + """ SELECT 'https://www.jobkorea.co.kr/Recruit/GI_Read/' || id AS url, 'jobkorea' AS site, CASE k WHEN 0 THEN '주식회사 가' ELSE company END AS company, CASE k WHEN 0 THEN '백엔드 개발' ELSE '목록 제목' END AS title, CASE k WHEN 0 THEN '2026-09-30' ELSE '상시채용' END AS deadline,
+ 'Kotlin' AS req, '' AS pref, CASE k WHEN 0 THEN '경력무관' ELSE '신입' END AS career, CASE k WHEN 0 THEN '연봉 3,000~5,001만원' ELSE '2,800만원' END AS salary, 'Kotlin, https://i/y.png' AS tech, CASE k WHEN 0 THEN '서울 강남구 1' ELSE '부산' END AS place FROM d""", view=False)
+def jobkorea_rows(spark, d):
+    ld = '{"@type": "JobPosting", "title": " 백엔드\\n 개발", "validThrough": "2026-09-30T23:59", "hiringOrganization": {"name": "주식회사 가"}, "experienceRequirements": "경력무관", "jobLocation": {"address": {"streetAddress": "서울  강남구 1"}}, "baseSalary": {"value": {"unitText": "YEAR", "minValue": 30000000, "maxValue": 50010000}}}'
+    page = F.when(F.col("k") == 0, f'<script id="x" type="application/ld+json">{ld}</script>').otherwise("<p>none</p>")
+    df = _payload(spark, d).select(
+        F.col("id").alias("gno"), "company", F.lit("목록 제목").alias("title"), F.lit(" 상시채용 ").alias("deadline"), F.array(F.lit("신입"), F.lit("학력무관"), F.lit("부산"), F.lit("2,800 만원")).alias("cells"),
+        page.alias("detail"), F.lit("<p>지원자격</p><p>Kotlin</p><script>Java</script><p>포지션 소개</p><p>글</p>").alias("body"), F.array(F.lit("https://i/y.png")).alias("image_urls"),
+    )
+    return _columns(sites.jobkorea_row(df, _matcher()))
+
+
+@query(PAYLOAD + """ SELECT 'https://www.jobplanet.co.kr/job/search?posting_ids%5B%5D=' || id AS url, 'jobplanet' AS site, CASE k WHEN 0 THEN 'detail co' ELSE company END AS company, '제목' AS title, CASE j WHEN 0 THEN '2026-09-03' WHEN 1 THEN '채용시까지' ELSE '' END AS deadline, 'React 경험' || chr(10) || '학사' AS req, '' AS pref,
+ CASE k WHEN 0 THEN '5 ~ 10년, 신입' ELSE '3년 이상' END AS career, CASE k WHEN 0 THEN '3,600만원' ELSE '' END AS salary, 'Java, Python, React, Go' AS tech, CASE j WHEN 0 THEN '경기 수원시' ELSE '서울, 부산' END AS place FROM d""", view=False)
+def jobplanet_rows(spark, d):
+    k, j = F.col("k") == 0, F.col("j")
+    none, lists = F.lit(None).cast("string"), lambda *x: F.array(*[F.lit(v) for v in x])
+    posting = F.struct(F.col("id"), F.lit("제목").alias("title"), F.when(j == 0, "2026.9.3 18:00").alias("end_at"), F.struct(F.col("company").alias("name")).alias("company"), F.lit(None).cast("array<string>").alias("recruitment_text"), F.struct(F.lit("3년 이상").alias("text")).alias("annual"), F.lit(None).cast("array<string>").alias("working_area"), lists("서울", " ", "부산").alias("cities"))
+    detail = F.struct(
+        F.when(k, "detail  co").alias("name"), F.lit(" ").alias("title"), F.when(j == 1, "채용시까지").alias("end_at"), F.lit("React\t 경험\n학사 ").alias("required_qualification"), none.alias("preferred_skill"), F.lit("go 서비스").alias("primary_responsibility"),
+        F.when(k, lists("5 ~ 10년", "신입")).alias("recruitment_text"), F.struct(none.alias("text")).alias("annual"), F.when(k, "연봉 3,600 만원").otherwise("면접 후").alias("salary"), F.when(j == 0, "경기  수원시").alias("location"),
+        F.lit(None).cast("array<string>").alias("working_area"), F.lit(None).cast("array<string>").alias("cities"), lists("java/python", "zzz", "풀스택").alias("skills"),
+    )
+    return _columns(sites.jobplanet_row(_payload(spark, d).select(posting.alias("posting"), detail.alias("detail")), _matcher()))
+
+
+@query(PAYLOAD + """ SELECT 'https://jumpit.saramin.co.kr/position/' || id AS url, 'jumpit' AS site, company, '서버 개발' AS title, CASE WHEN k = 0 THEN '상시채용' WHEN j = 0 THEN '2026-10-01' ELSE '상시채용' END AS deadline, 'Spring Boot' || chr(10) || '학사' AS req, 'Docker' AS pref,
+ CASE WHEN k = 0 THEN '신입' WHEN j = 0 THEN '3~7년' WHEN j = 1 THEN '5년' ELSE '2년 이상' END AS career, '' AS salary, 'Java, Go, Spring Boot, Docker' AS tech, CASE j WHEN 0 THEN '서울 강남구' WHEN 1 THEN '서울 1, 서울 2' ELSE '판교' END AS place FROM d""", view=False)
+def jumpit_rows(spark, d):
+    k, j = F.col("k") == 0, F.col("j")
+    none = F.lit(None).cast("string")
+    common = lambda c, t: [c.alias("companyName"), t.alias("title"), F.lit(None).cast("boolean").alias("alwaysOpen")]
+    position = F.struct(F.col("id"), *common(F.col("company"), F.lit("서버 개발")), F.when(j == 0, "2026-10-01 23:59").alias("closedAt"), k.alias("newcomer"), F.when(j == 0, 3).when(j == 1, 5).otherwise(2).alias("minCareer"), F.when(j == 0, 7).when(j == 1, 5).alias("maxCareer"), F.array(F.lit("go"), F.lit("nope")).alias("techStacks"), F.array(F.lit("판교")).alias("locations"))
+    detail = F.struct(
+        none.alias("companyName"), none.alias("title"), k.alias("alwaysOpen"), none.alias("closedAt"), F.lit(False).alias("newcomer"), F.lit(None).cast("int").alias("minCareer"), F.lit(None).cast("int").alias("maxCareer"), F.array(F.struct(F.lit("JAVA").alias("stack"))).alias("techStacks"), F.lit(None).cast("array<string>").alias("locations"),
+        F.lit("Spring Boot\r\n학사").alias("qualifications"), F.lit("Docker").alias("preferredRequirements"), none.alias("responsibility"), F.when(j == 0, "서울 강남구").alias("location"), F.when(j == 1, F.array(F.struct(F.lit("서울 1").alias("address")), F.struct(F.lit("서울 2").alias("address")))).alias("workingPlaces"),
+    )
+    return _columns(sites.jumpit_row(_payload(spark, d).select(position.alias("position"), detail.alias("detail")), _matcher()))
+
+
+@query("SELECT site, count(*) AS rows, count(*) FILTER (trim(req) = '') AS no_requirements, count(*) FILTER (contains(tech, 'http')) AS with_images, CAST(0 AS BIGINT) AS no_technology FROM p GROUP BY site")
+def site_collection_stats(spark, d):
+    return sites.collection_stats(postings(spark, d))
+
+
+@query("SELECT DISTINCT site FROM p")
+def distinct_sites(spark, d):
+    return an.distinct_sites(_flat(spark, d))
 
 
 @query("SELECT n_name AS name, CAST(n_nationkey AS VARCHAR) AS code, r_name AS province FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT r_name, CAST(r_regionkey AS VARCHAR), r_name FROM region", view=False)
@@ -438,26 +630,43 @@ def role_codes(spark, d):
     return lookups.resolve(spark.createDataFrame([("building",), ("machinery",), ("none",)], "name string"), t)[0]
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<script\b.*?</script\s*>', ' ', 'gis'), '<style\b.*?</style\s*>', ' ', 'gis'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages""", view=False)
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<script\b.*?</script>', ' ', 'gis'), '<style\b.*?</style>', ' ', 'gis'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages""", view=False)
 def html_visible_text(spark, d):
     return table(spark, d, "pages").select("page_id", markup.plain_text(F.col("html")).alias("text"))
 
 
 @query()
 def html_lines_sections(spark, d):
-    p = table(spark, d, "pages").select("page_id", markup.visible_lines(F.col("html")).alias("lines"), markup.visible_text(F.col("html")).alias("text"))
-    return p.select("page_id", "text", sections.split_body(F.col("lines")).alias("s")).select("page_id", "text", "s.req", "s.pref")
+    p = table(spark, d, "pages").select("page_id", markup.visible()(F.col("html")).alias("seen"))
+    return p.select("page_id", "seen.text", F.inline(F.array(sections.split_body(F.col("seen.lines")))))
+
 
+INNER_SQL = r"regexp_replace(tech, '\(([^(),]*), *([^(),]*)\)', '(\1·\2)', 'g')"
 
-@query(f"SELECT url, {LIST} AS names FROM p")
+
+@query(f"SELECT url, flatten(list_transform(list_transform(string_split({INNER_SQL}, ','), lambda x: trim(x)), lambda x: CASE WHEN contains(x, '(') THEN [split_part(x, '(', 1)] || string_split(rtrim(split_part(x, '(', 2), ')'), '·') ELSE [x] END)) AS names FROM p")
 def split_names(spark, d):
     return postings(spark, d).select(F.col(URL).alias("url"), text.split_names(F.col(TECH)).alias("names"))
 
 
-@query()
+TRAILERS_SQL = "|".join(sorted(set(skills.TRAILERS)))
+PROSE_SQL = "req || chr(10) || pref"
+NAMED_SQL = "[" + ", ".join(f"CASE WHEN regexp_matches({PROSE_SQL}, '(?i)(^|[^A-Za-z0-9]){n}{'[0-9]*' if len(n) > 2 else ''}([^A-Za-z0-9]|$)') THEN '{n}' END" for n in [*KNOWN, "License", "Apache"]) + f", CASE WHEN regexp_matches({PROSE_SQL}, '경력([^가-힣]|$|{TRAILERS_SQL})') THEN '경력' END]"
+TAGS_SQL = f"list_filter({LIST}, lambda x: list_contains(['{"', '".join(KNOWN)}'], x))"
+
+
+@query(f"SELECT url, list_sort(list_distinct(list_filter({TAGS_SQL} || {NAMED_SQL}, lambda x: x IS NOT NULL))) AS skills FROM p")
 def skill_matcher_prose(spark, d):
-    m = skills.Matcher([x for t in TECHS for x in t.split(", ") if not x.startswith("http")], {"Apache License": "Apache"}, korean={"경력": "경력"})
-    return skills.extract(postings(spark, d).withColumn("tags", text.items(F.col(TECH))), m, "tags", REQ, PREF).select(F.col(URL).alias("url"), "skills")
+    m = skills.Matcher([*KNOWN, "License", "Apache", "경력"], korean={"경력": "경력"})
+    p = postings(spark, d).withColumn("tags", m.keep_known(text.items(F.col(TECH))))
+    return skills.extract(p, m, "tags", REQ, PREF).select(F.col(URL).alias("url"), F.array_sort("skills").alias("skills"))
+
+
+@query(f"""SELECT name, count(*) AS n, list_sort(list_distinct(list(site))) AS sites, list_sort(list_distinct(list(url)))[1:3] AS examples, min(first_seen) AS first_seen, max(last_seen) AS last_seen
+FROM (SELECT unnest({LIST}) AS name, site, url, first_seen, last_seen FROM p) WHERE name NOT IN ('Java', 'Kotlin', 'React') GROUP BY name""")
+def corpus_candidates(spark, d):
+    p = postings(spark, d).select(F.explode(text.items(F.col(TECH))).alias("name"), F.col(SITE).alias("site"), F.col(URL).alias("example"), F.col(FIRST).alias("seen"))
+    return skills.candidate_names(p, skills.Matcher(["Java", "Kotlin", "React"]))
 
 
 @query("SELECT CAST(sum(rows) AS BIGINT) AS rows, max(seconds) AS seconds, arg_max(site, seconds) AS slowest, string_agg(site, ', ' ORDER BY site) AS ok_sites, '' AS silent_sites, '' AS incomplete_sites FROM (SELECT source AS site, count(*) AS rows, max(n_chars * 1000 + CAST(substring(source, 4) AS INTEGER)) AS seconds FROM documents GROUP BY 1)", view=False)
@@ -466,23 +675,32 @@ def site_run_summary(spark, d):
     return an.run_summary(log)
 
 
+CORE = ["Java", "Kotlin", "Python"]
+
+
 def _run(spark, d):
+    """All eight stages with their side tables."""
     p = postings(spark, d)
-    return pipeline.run(p, pipeline.Context(excluded=EXCLUDED, core=["Java", "Kotlin"], title=plain_title()))
+    return pipeline.run(p, pipeline.Context(
+        excluded=EXCLUDED, core=CORE, ratings=_ratings(p), reads=_reads(spark), matcher=_matcher(), bodies=bodies(spark, d), role_verdicts=_role_verdicts(spark, d),
+        role_fills=_role_fills(spark, d), nuance_verdicts=_nuance_verdicts(spark, d), career_verdicts=_career_verdicts(spark, d),
+    ))
 
 
-FILL = ", ".join(f"CASE WHEN merges AND trim({c}) = '' THEN coalesce(first_value(CASE WHEN trim({c}) <> '' THEN {c} END IGNORE NULLS) OVER w, {c}) ELSE {c} END AS {c}" for c in ("career", "req", "pref"))
-PIPE = f""", {GROUPS}, filled AS (SELECT * REPLACE ({FILL}) FROM m WINDOW w AS (PARTITION BY k1, k2 ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-s1 AS (SELECT * FROM filled WHERE NOT merges OR rk = 1), s2 AS (SELECT * FROM s1 WHERE len({hits_sql('tech', EXCLUDED)}) = 0 AND ({OPENED} OR {CLOSED} IS NULL)),
-s3 AS (SELECT * FROM s2 WHERE {word_sql("tech || chr(10) || req || chr(10) || pref", "Java")} OR {word_sql("tech || chr(10) || req || chr(10) || pref", "Kotlin")})"""
+FILL = ", ".join(f"CASE WHEN merges AND trim({c}) = '' THEN coalesce(first_value(CASE WHEN trim({c}) <> '' THEN {c} END IGNORE NULLS) OVER w, {c}) ELSE {c} END AS {c}" for c in ("career", "req", "pref", "tech", "company", "title"))
+PIPE = f""", {RATED}, s1 AS (SELECT {BASE} FROM ({image_sql('p')})), s2 AS (SELECT {BASE} FROM ({role_sql('s1')}) WHERE says IS NULL OR says <> '제외 · 내 직군 없음'), {groups('s2')},
+filled AS (SELECT * REPLACE ({FILL}) FROM m WINDOW w AS (PARTITION BY k1, k2 ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+s3 AS (SELECT {BASE} FROM filled WHERE (NOT merges OR rk = 1) AND len({hits_sql('tech', EXCLUDED)}) = 0 AND ({CLOSED}) IS NULL),
+s4 AS (SELECT {BASE} FROM ({nuance_sql('s3')}) WHERE says IS NULL OR says <> '제외 · 피할 자리'), s5 AS (SELECT s4.* FROM s4 JOIN r ON {KEY} = r.k WHERE r.rating >= 2.9),
+s6 AS (SELECT * FROM s5 WHERE {' OR '.join(word_sql("tech || chr(10) || req || chr(10) || pref", n) for n in CORE)}), s7 AS (SELECT * FROM ({career_sql('s6')}) WHERE NOT goes)"""
 
 
-@query(PIPE + " SELECT url FROM s3")
+@query(PIPE + " SELECT url, career, tech, md5(req) AS req FROM s7")
 def pipeline_final(spark, d):
-    return renamed(_run(spark, d).final, "url")
+    return renamed(_run(spark, d).final, "url", "career", "tech", "req").withColumn("req", F.md5("req"))
 
 
-@query(PIPE + """ SELECT * FROM (VALUES (0, 'merged', (SELECT count(*) FROM p)), (1, 'image', NULL), (2, 'role', NULL), (3, 'filter', (SELECT count(*) FROM s2)), (4, 'nuance', NULL), (5, 'rating', NULL), (6, 'core', (SELECT count(*) FROM s3)), (7, 'career', NULL)) t(pos, stage, n)""")
+@query(PIPE + " SELECT * FROM (VALUES " + ", ".join(f"({k}, '{stage}', (SELECT count(*) FROM {t}))" for k, (stage, t) in enumerate(zip(pipeline.STAGES, ["p", *(f"s{i}" for i in range(1, 8))], strict=True))) + ") t(pos, stage, n)")
 def funnel(spark, d):
     return _run(spark, d).funnel
 

@@ -5,14 +5,19 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import BODY_CAP, is_blank, strip_u
+from ..operators import merge
 from ..operators.dedup import keep_last
-from ..schema import COLUMNS, ORD, POSTING_SCHEMA, as_postings
+from ..operators.skills import Dictionary
+from ..schema import COLUMNS, FIRST, LAST, ORD, POSTING_SCHEMA, URL, as_postings
 
 CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# The file of dropped rows.
+DROPPED, DROPPED_COMMON = "history_dropped.csv", ["기업명", "공고명", "사이트명", "URL", "판정"]
+DROPPED_COLUMNS = ["기록일", "단계", *DROPPED_COMMON, "근거"]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -32,13 +37,13 @@ def read_postings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """Url and body; lines that are no JSON are passed over, the last of equal URLs holds."""
-    empty = spark.createDataFrame([], f"url string, body string, {ORD} long")
+    """Url and body; lines that are no JSON are passed over, the last of equal URLs holds (by file, split and line)."""
     if not exists(spark, path):
-        return empty.drop(ORD)
+        return spark.createDataFrame([], "url string, body string")
     raw = spark.read.schema("URL string, `본문` string").option("mode", "DROPMALFORMED").json(path)
-    rows = raw.select(F.col("URL").alias("url"), F.col("본문").alias("body")).withColumn(ORD, F.monotonically_increasing_id()).where(F.coalesce("url", F.lit("")) != "")
-    return keep_last(rows, "url").drop(ORD)
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    rows = raw.select(F.col("URL").alias("url"), F.coalesce(F.col("본문"), F.lit("")).alias("body"), place.alias("place")).where(F.coalesce("url", F.lit("")) != "")
+    return rows.groupBy("url").agg(F.max_by("body", "place").alias("body"))
 
 
 def gather_bodies(frames: list[DataFrame]) -> DataFrame:
@@ -51,11 +56,15 @@ def gather_bodies(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_verdicts(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A verdict table; absent means empty."""
+    """A verdict table with one answer for each URL and rules version, the last one; absent means empty."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        rows = spark.read.schema(schema).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
+    keys = [c for c in ("url", "rules_version") if c in rows.columns]
+    rest = [c for c in rows.columns if c not in keys]
+    order = sorted(rest, key=lambda c: (c != "judged_on", rest.index(c)))
+    return rows.groupBy(*keys).agg(F.max(F.struct(*order)).alias("row")).select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest]).select(rows.columns)
 
 
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
@@ -73,25 +82,107 @@ def read_mapping(spark: SparkSession, path: str, field: str) -> DataFrame:
     return raw.select(F.explode(F.col(f"`{field}`")).alias("name", "standard"))
 
 
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a file in another's place in one step: a reader sees the old one or the new one."""
+    jvm = spark._jvm
+    to, frm = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(source)
+    conf = spark._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.getFileSystem(conf).makeQualified(to).toUri(), conf)
+    rename = jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = next(x for x in rename.getEnumConstants() if str(x) == "OVERWRITE")
+    context.rename(context.makeQualified(frm), context.makeQualified(to), options)
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str] = COLUMNS) -> None:
-    """K1, K2: one ordered CSV file, with a byte order mark, that appears under its name only when it is whole."""
+    """K1, K2: one ordered CSV file, with a byte order mark, that replaces the file under its name when it is whole."""
     spark = df.sparkSession
     tmp = f"{path}.{uuid.uuid4().hex}"
     rows = df.orderBy(ORD) if ORD in df.columns else df
     rows.select(*[F.col(c).alias(f"﻿{c}" if k == 0 else c) for k, c in enumerate(columns)]).coalesce(1).write.options(header="true", quote='"', escape='"', emptyValue="", quoteAll="false").csv(tmp)
-    to, frm = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(tmp)
-    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    frm = spark._jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = frm.getFileSystem(spark._jsc.hadoopConfiguration())
     part = next(s.getPath() for s in fs.listStatus(frm) if s.getPath().getName().startswith("part-"))
-    fs.delete(to, False)
-    if not fs.rename(part, to):
-        raise OSError(f"could not rename to {path}")
+    replace_file(spark, part.toString(), path)
     fs.delete(frm, True)
 
 
+def save(spark: SparkSession, rows: DataFrame, path: str, today: str, bodies: DataFrame | None = None) -> DataFrame:
+    """Merge what was collected into the CSV file of a site, and its bodies into the file beside it; one row of counts."""
+    if bodies is not None:
+        beside = path.removesuffix(".csv") + "_bodies.jsonl"
+        whole = gather_bodies([read_bodies(spark, beside), bodies])
+        tmp = f"{beside}.{uuid.uuid4().hex}"
+        write_bodies(whole, tmp)
+        put_folder(spark, tmp, beside)
+    marked = merge.upsert(read_postings(spark, path), rows, today)
+    counts = spark.createDataFrame(merge.counters(marked).collect(), "added long, updated long, unseen long, expired long, undated long")  # one row
+    ordered = marked.where(~F.col("expired")).withColumn(ORD, F.row_number().over(Window.orderBy(F.col(LAST).desc(), F.col(FIRST).desc(), F.col(URL).desc())).cast("long"))
+    write_csv(ordered, path)  # one file is one task in any case
+    return counts
+
+
+def put_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a folder in another's place; the old one goes only when the new one stands under its name."""
+    jvm = spark._jvm
+    to, frm, old = (jvm.org.apache.hadoop.fs.Path(x) for x in (target, source, f"{target}.{uuid.uuid4().hex}.old"))
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(to)
+    if had and not fs.rename(to, old):
+        raise OSError(f"could not put {target} aside")
+    if not fs.rename(frm, to):
+        if had:
+            fs.rename(old, to)
+        raise OSError(f"could not rename to {target}")
+    if had:
+        fs.delete(old, True)
+
+
+def history_stage(spark: SparkSession, csv: str, history: str, today: str, pairs: list[tuple[str, str]], reports: dict[str, DataFrame]) -> None:
+    """Q8: the collected and the final postings into the history files of their names (first seen: the earlier date), and why
+    rows were dropped into one file, the last word for each URL and stage."""
+    for source, target in pairs:
+        fresh, path = read_postings(spark, f"{csv}/{source}"), f"{history}/{target}"
+        rows = merge.keep_earliest(merge.merge(read_postings(spark, path), fresh, today), fresh)
+        write_csv(rows.withColumn(ORD, F.row_number().over(Window.orderBy(F.col(LAST).desc(), F.col(FIRST).desc(), F.col(URL).desc())).cast("long")), path)
+    path = f"{history}/{DROPPED}"
+    fresh = merge.dropped_union(reports, DROPPED_COMMON).withColumn("기록일", F.lit(today)).withColumnsRenamed({"stage": "단계", "detail": "근거"})
+    before = read_any(spark, path)
+    none = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in DROPPED_COLUMNS))
+    old = (before if before is not None else none).select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in DROPPED_COLUMNS], F.lit(0).alias("age"))
+    both = old.unionByName(fresh.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in DROPPED_COLUMNS], F.lit(1).alias("age")))
+    kept = both.groupBy("URL", "단계").agg(F.max(F.struct("age", *[c for c in DROPPED_COLUMNS if c not in ("URL", "단계")])).alias("r")).select("URL", "단계", "r.*")
+    write_csv(kept.orderBy("단계", "URL"), path, DROPPED_COLUMNS)
+
+
 def write_bodies(bodies: DataFrame, path: str) -> None:
+    """K3."""
     bodies.select(F.col("url").alias("URL"), F.col("body").alias("본문")).orderBy("URL").write.mode("overwrite").json(path)
 
 
+def read_dictionary(spark: SparkSession, folder: str) -> Dictionary:
+    """The dictionary files of a folder; absent ones are empty.  A dictionary is read whole: it is a setting."""
+
+    def lines(name: str) -> list[str]:
+        return [r["term"] + (" = " + r["standard"] if r["standard"] != r["term"] else "") for r in read_terms(spark, f"{folder}/{name}").collect()]
+
+    corpus, aliases = {}, {}
+    if exists(spark, f"{folder}/tech_corpus.json"):
+        raw = spark.read.schema("tech array<struct<name:string,kind:string>>").option("multiLine", "true").json(f"{folder}/tech_corpus.json")
+        corpus = {r["name"]: r["kind"] for r in raw.select(F.inline("tech")).collect()}
+    if exists(spark, f"{folder}/tech_aliases.json"):
+        aliases = {r["name"]: r["standard"] for r in read_mapping(spark, f"{folder}/tech_aliases.json", "aliases").collect()}
+    korean = dict(x.split(" = ", 1) if " = " in x else (x, x) for x in lines("tech_ko_allowlist.txt"))
+    return Dictionary(corpus, aliases, frozenset(lines("tech_blocklist.txt")), frozenset(lines("tech_rejected.txt")), korean)
+
+
+def write_candidates(candidates: DataFrame, path: str) -> None:
+    """K8: names to look at, as JSON lines, in the place of those before."""
+    spark, tmp = candidates.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    candidates.write.json(tmp)
+    put_folder(spark, tmp, path)
+
+
 def append_verdicts(verdicts: DataFrame, path: str) -> None:
     """K4: verdicts are only added; readers take those of their rules version."""
     verdicts.write.mode("append").parquet(path)
