@@ -9,7 +9,9 @@ Unigram models weigh a piece by minus its score.  Merge (BPE) models need a weig
 exactly when each two neighbours are what merging their joined text gives (and each piece is what its own text
 gives), so a pair weighs 0 or infinity.  That makes the path of finite weight unique, and so is the piece that ends it at
 each place: lattice states need no more memory than places.  Pair weights are found once by running the merges on the
-joined text of the two pieces.  Runs of blanks, whose merges tie in score, are encoded whole as a compiled arc.
+joined text of the two pieces.  In runs of blanks merges tie in score, so their order decides, which no weight on pairs tells:
+a part that begins with such a run is one arc, whose output is what merging it gives.  Time is linear in a text, and
+for runs of blanks n log n.
 
 No piece holds U+2581 after another character, so a text falls apart before each run of blanks; each distinct
 part is composed once per worker and its ids kept in two bounded generations.
@@ -17,7 +19,7 @@ part is composed once per worker and its ids kept in two bounded generations.
 Decoding runs the transducers backwards: pieces to text, byte pieces to bytes (broken UTF-8 gives U+FFFD), U+2581 to blank,
 and the dummy prefix is taken off.
 
-Edge cases: a null text encodes as empty, which has no ids; null doc_id passes through; repeated rows give repeated
+Edge cases: very long texts, words and runs of blanks are encoded whole; equal scores merge from the left; a null text encodes as empty, which has no ids; null doc_id passes through; repeated rows give repeated
 results; an empty table gives no rows; further columns are not read.
 """
 
@@ -27,6 +29,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,8 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITY = float("inf")
-GENERATION, PAIRS = 400_000, 600_000
+#: Parts and pairs kept by a worker, and the longest part kept, in characters.
+GENERATION, PAIRS, KEPT = 400_000, 600_000, 1000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -159,17 +163,26 @@ class Transducer:
 
     def merged(self, text: str) -> list[str]:
         """The symbols that merging gives: the pair of best score first, the leftmost of equal ones."""
-        symbols = list(text)
-        while len(symbols) > 1:
-            best, at = -INFINITY, -1
-            for i in range(len(symbols) - 1):
-                k = self.number.get(symbols[i] + symbols[i + 1])
-                if k is not None and self.scores[k] > best:
-                    best, at = self.scores[k], i
-            if at < 0:
-                break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
+        symbols: list[str | None] = list(text)
+        after = [*range(1, len(symbols)), -1]
+        before = [-1, *range(len(symbols) - 1)]
+        number, scores = self.number, self.scores
+        heap = [(-scores[k], i, 2) for i in range(len(symbols) - 1) if (k := number.get(symbols[i] + symbols[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, size = heappop(heap)
+            j = after[i] if symbols[i] is not None else -1
+            if j < 0 or len(symbols[i]) + len(symbols[j]) != size:
+                continue  # one of the two has merged otherwise
+            symbols[i] += symbols[j]
+            symbols[j] = None
+            n = after[i] = after[j]
+            if n >= 0:
+                before[n] = i
+            for a, b in ((before[i], i), (i, n)):
+                if a >= 0 and b >= 0 and (k := number.get(symbols[a] + symbols[b])) is not None:
+                    heappush(heap, (-scores[k], a, len(symbols[a]) + len(symbols[b])))
+        return [x for x in symbols if x is not None]
 
     def weight(self, before: int, piece: int) -> float:
         """Of a piece after another (-1: at the start)."""
@@ -191,7 +204,7 @@ class Transducer:
     def shortest_path(self, part: str) -> list[int]:
         """Ids of the lattice of one normalised part."""
         run = len(part) - len(part.lstrip(BLANK))
-        if self.model == BPE and run > 1:  # the blanks' merges tie, so their order decides: an arc from the compiled run
+        if self.model == BPE and run > 1:  # ties: see above
             symbols = self.merged(part)
             return [i for s in symbols for i in ([self.number[s]] if s in self.number else self.fallback(s))]
         n, start, weight, pairs = len(part), self.start, self.weight, self.pair
@@ -208,8 +221,8 @@ class Transducer:
             if before == -2:
                 before = -1
             single = False
-            for c in part[i:]:
-                state = state.get(c)
+            while j < n:
+                state = state.get(part[j])
                 if state is None:
                     break
                 j += 1
@@ -232,6 +245,8 @@ class Transducer:
                 w = here + (0.0 if merge else -self.worst)
                 if w < cost[i + 1]:
                     cost[i + 1], last[i + 1], back[i + 1] = w, -2, i
+        if cost[n] == INFINITY:
+            raise ValueError("no path of finite weight: the pair weights do not fit this model")
         out: list[list[int]] = []
         at = n
         while at:
@@ -256,11 +271,15 @@ class Transducer:
         if len(self.known) > GENERATION:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        for c in set().union(*split).difference(known):
+        new = set().union(*split).difference(known)
+        for c in new:
             ids = older.get(c)
             known[c] = np.array(self.shortest_path(c), "<u4").tobytes() if ids is None else ids
         get = known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        out = [b"".join(map(get, s)) for s in split]
+        for c in [c for c in new if len(c) > KEPT]:  # long parts are not kept
+            del known[c]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self._decoded.__getitem__, ids)).decode("utf-8", "replace")

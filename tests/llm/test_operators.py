@@ -3,6 +3,7 @@ tables and clashing column names."""
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -113,6 +114,23 @@ def test_wfst_equals_library(spark, corpus, odd):
         assert sorted((str(r["doc_id"]), r["text"]) for r in wfst.decode(spark.createDataFrame(got), path).collect()) == texts
 
 
+def test_wfst_is_linear(corpus):
+    """Long runs of blanks, a long word and a long text without blanks: like the library, in seconds."""
+    path = P.path("piece_bpe_32k.model")
+    import sentencepiece
+
+    lib, t = sentencepiece.SentencePieceProcessor(model_file=path), wfst.transducer(path)
+    r = np.random.default_rng(5)
+    word = "".join(r.choice(list("etaoinshrdlu"), 100_000))
+    for x in (" " * 100_000, "a" + " " * 4097 + "b", word, "\u4e2d\u6587" * 20_000, " " * 33 + "x" + " " * 5, word[:999] + " " * 17 + word[:31]):
+        (body,) = t.encode_all([x])
+        assert np.frombuffer(body, "<u4").tolist() == lib.encode(x)
+    began = time.time()
+    for x in (" " * 1_000_000, "".join(r.choice(list("etaoinshrdlu"), 1_000_000)), "\u4e2d" * 1_000_000):
+        t.encode_all([x])
+    assert time.time() - began < 90 and max(map(len, t.known)) <= wfst.KEPT
+
+
 def test_unigram_path_is_shortest():
     def field(n, body):
         return bytes([n << 3 | 2, len(body)]) + body
@@ -415,30 +433,92 @@ def test_packing_is_gapless_and_tight(spark, odd, corpus, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
-def test_plan_near_its_bound():
-    r = np.random.default_rng(1)
-    for n in (1, 10, 3000):
-        h = {}
-        for x in np.clip(r.lognormal(6.8, 0.9, n).astype(int), 1, 4096).tolist():
-            h[x] = h.get(x, 0) + 1
-        plan = packing.solve(h)
-        used = {}
-        for times, items in plan.configurations:
-            assert sum(items) <= 4096
-            for x in items:
-                used[x] = used.get(x, 0) + times
-        assert used == h and plan.lower_bound <= plan.sequences <= plan.lower_bound * 1.01 + 1
+def histogram(lengths):
+    h = {}
+    for x in np.clip(np.asarray(lengths).astype(int), 1, 4096).tolist():
+        h[x] = h.get(x, 0) + 1
+    return h
+
+
+R = np.random.default_rng(1)
+HISTOGRAMS = {
+    "lognormal": histogram(R.lognormal(6.8, 0.9, 3000)),
+    "1000 to 3000": histogram(R.integers(1000, 3001, 30000)),
+    "1300 to 1500": histogram(R.integers(1300, 1501, 30000)),
+    "1 to 60": histogram(R.integers(1, 61, 300000)),
+    "three lengths": {1366: 3000, 1365: 3000, 2000: 500},
+    "ten": histogram(R.lognormal(6.8, 0.9, 10)),
+    "full and one": {4096: 50, 7: 1},
+}
+
+
+@pytest.mark.parametrize("name", list(HISTOGRAMS))
+def test_plan_near_its_bound(name):
+    h = HISTOGRAMS[name]
+    plan, used = packing.solve(h), {}
+    for times, items in plan.groups:
+        assert sum(x * k for x, k in items) <= 4096 and times > 0
+        for x, k in items:
+            used[x] = used.get(x, 0) + times * k
+    need = np.zeros(4097, int)
+    need[list(h)] = list(h.values())
+    assert used == h and plan.lower_bound <= plan.sequences <= min(plan.lower_bound * 1.01 + 1, sum(n for n, _ in packing.best_fit(need, 4096)))
+    assert plan.sequences == sum(n for n, _ in plan.groups) and plan.lower_bound >= sum(x * n for x, n in h.items()) / 4096
+
+
+def test_small_plans():
     assert packing.solve({}).sequences == 0
     assert packing.solve({3000: 7}).sequences == 7 == packing.solve({3000: 7}).lower_bound
 
 
+def test_bound_holds_for_every_packing():
+    """Against the best packing of few pieces, found by trying all."""
+
+    def fewest(pieces):
+        best = [len(pieces)]
+
+        def go(k, rooms):
+            if len(rooms) >= best[0]:
+                return
+            if k == len(pieces):
+                best[0] = len(rooms)
+                return
+            for i in range(len(rooms)):
+                if rooms[i] >= pieces[k]:
+                    go(k + 1, [*rooms[:i], rooms[i] - pieces[k], *rooms[i + 1 :]])
+            go(k + 1, [*rooms, 20 - pieces[k]])
+
+        go(0, [])
+        return best[0]
+
+    r = np.random.default_rng(3)
+    for _ in range(30):
+        pieces = sorted(r.integers(1, 21, 8).tolist(), reverse=True)
+        h = {}
+        for x in pieces:
+            h[x] = h.get(x, 0) + 1
+        plan = packing.solve(h, 20, 40)
+        assert plan.lower_bound <= fewest(pieces) <= plan.sequences <= fewest(pieces) + 1
+
+
 def test_knapsack_is_optimal():
-    price = np.full(31, -np.inf)
-    price[[3, 7, 11]] = 3.1, 7.5, 11.2
-    best, last = packing.knapsack(price, 30)
+    best = packing.knapsack(np.array([3, 7, 11]), np.array([3.1, 7.5, 11.2]), 30)
     for c in range(31):
         assert best[c] == pytest.approx(max(a * 3.1 + b * 7.5 + d * 11.2 for a in range(11) for b in range(5) for d in range(3) if 3 * a + 7 * b + 11 * d <= c))
-        assert sum(price[x] for x in packing._fill(last, c)) == pytest.approx(best[c])
+
+
+def test_packing_spreads_equal_pieces(spark, monkeypatch):
+    """Copies of one document and full pieces, over groups of a few rows."""
+    monkeypatch.setattr(packing, "GROUP", 3)
+    given = [(7, "a b c")] * 40 + [(None, "x " * 5000)] * 5 + [(None, None)] * 3
+    rows = packing.pack_documents(spark.createDataFrame(given, "doc_id long, text string").repartition(4), P.path("word_bpe_49k.json")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert len(rows) == 40 + 10 + 3
+    for s in by.values():
+        s.sort()
+        assert s[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(s, s[1:], strict=False)) and s[-1][0] + s[-1][1] <= 4096
 
 
 # 10
