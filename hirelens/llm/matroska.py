@@ -6,7 +6,7 @@ The parser reads any nesting of the elements it knows, sizes of 1 to 8 bytes, un
 SimpleBlocks and BlockGroups, and all four lacings; it returns one packet for each frame with its track, timestamp and
 byte range.  Elements it doesn't know are stepped over.
 
-Edge cases: a null text counts as empty, and an empty text gives one frame of blanks; null doc_id passes through;
+Edge cases: a very long text is one file (under 2 GB, as any cell); a null text counts as empty, and an empty text gives one frame of blanks; null doc_id passes through;
 repeated rows give repeated, equal results; an empty table gives no rows; damaged files raise ValueError.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,10 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .runtime import by_batch, texts
+from .runtime import by_batch, cut, staged, texts
 
 #: Samples in a frame; frames in a lace at most; laces in a cluster at most; samples in a second.
 FRAME, LACE, BLOCKS, RATE = 192, 64, 16, 8000
+#: Packets of one batch of the packet table.
+PACKETS = 100_000
 PAD = b" "
 
 # Matroska element ids.
@@ -132,12 +135,12 @@ def walk(data: bytes, at: int = 0, end: int | None = None, depth: int = 0) -> It
 
 @dataclass
 class Packets:
-    """Frames in file order: track, timestamp in ns, byte range."""
+    """Frames in file order: track, timestamp in ns, byte range, as arrays of 64-bit integers."""
 
-    track: list[int]
-    time: list[int]
-    start: list[int]
-    end: list[int]
+    track: array
+    time: array
+    start: array
+    end: array
     cues: list[tuple[int, int]]
     tracks: dict[int, dict]
     clusters: list[int]
@@ -173,7 +176,15 @@ def lace_sizes(data: bytes, at: int, end: int, lacing: int) -> tuple[int, list[i
 
 
 def read_packets(data: bytes) -> Packets:
-    out = Packets([], [], [], [], [], {}, [])
+    """The packet table of a file; broken files give a ValueError."""
+    try:
+        return _read_packets(data)
+    except (IndexError, struct.error) as e:
+        raise ValueError(f"the file ends within an element: {e}") from e
+
+
+def _read_packets(data: bytes) -> Packets:
+    out = Packets(array("q"), array("q"), array("q"), array("q"), [], {}, [])
     scale, cluster_time, segment, frame_ns, cue_time, current = 1_000_000, 0, 0, {}, 0, {}
     for eid, _, at, end in walk(data):
         n = lambda: int.from_bytes(data[at:end], "big")  # noqa: B023, E731
@@ -245,48 +256,47 @@ MEDIA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, t
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 
 
-def _media(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array([write_media(padded((t or "").encode())) for t in batch.column(1).to_pylist()], pa.large_binary())], ["doc_id", "media"])
-
-
 def to_media(docs: DataFrame) -> DataFrame:
-    """doc_id and media: each whole text as a Matroska file."""
+    """doc_id, n_bytes (of the text as UTF-8) and media: each whole text as a Matroska file."""
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        b = _media(batch)
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.binary())], ["doc_id", "media"])
+        bodies = [(t or "").encode() for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(b) for b in bodies], pa.int64()), pa.array([write_media(padded(b)) for b in bodies], pa.binary())], ["doc_id", "n_bytes", "media"])
+
+    return texts(docs).mapInArrow(by_batch(f), "doc_id long, n_bytes long, media binary")
 
-    return texts(docs).mapInArrow(by_batch(f), "doc_id long, media binary")
+
+def store_media(docs: DataFrame) -> DataFrame:
+    """to_media() written to the shared folder and read back.  Files are of unlike sizes, so row groups are small."""
+    return staged(to_media(docs), "media")
 
 
 def packet_table(media: DataFrame) -> DataFrame:
     """A row for each packet of each file of to_media(): doc_id, packet, track, time_ns, byte_start, byte_end."""
+    names = ["doc_id", "packet", "track", "time_ns", "byte_start", "byte_end"]
 
-    def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for d, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            p = read_packets(m)
-            rows += [(d, i, *x) for i, x in enumerate(zip(p.track, p.time, p.start, p.end, strict=True))]
-        names = ["doc_id", "packet", "track", "time_ns", "byte_start", "byte_end"]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6, names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in cut(whole, "media"):
+                for d, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    p = read_packets(m)
+                    for at in range(0, len(p.track), PACKETS):
+                        part = [np.frombuffer(x, np.int64)[at : at + PACKETS] for x in (p.track, p.time, p.start, p.end)]
+                        n = len(part[0])
+                        yield pa.RecordBatch.from_arrays([pa.array([d] * n, pa.int64()), pa.array(np.arange(at, at + n)), *map(pa.array, part)], names)
 
-    return media.select("doc_id", "media").mapInArrow(by_batch(f, "media"), "doc_id long, packet long, track long, time_ns long, byte_start long, byte_end long")
+    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, packet long, track long, time_ns long, byte_start long, byte_end long")
 
 
 def media_features(docs: DataFrame) -> DataFrame:
-    """Store each whole text as media, read the stored bytes back, and describe them (columns MEDIA).
-
-    Each file is made and read within one step, so no media passes through a shuffle.
-    """
+    """Store each whole text as media, read the stored bytes back, and describe them (columns MEDIA)."""
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            body = (t or "").encode()
-            media = write_media(padded(body))
+        for d, n, media in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             packets = read_packets(media)
             payload = payload_of(media, packets)
-            rows.append((d, len(body), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(payload, packets)))
+            rows.append((d, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(payload, packets)))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
 
-    return texts(docs).mapInArrow(by_batch(f), MEDIA)
+    return store_media(docs).mapInArrow(by_batch(f, "media"), MEDIA)

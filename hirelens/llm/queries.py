@@ -66,7 +66,14 @@ def op10_media_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media_features(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_voronoi_topk, op2_sentencepiece_wfst, op3_chat_collapse, op4_token_store, op5_simhash_gray, op6_quality_ordinal, op7_language_hd, op8_toxicity_bigru, op9_packing_lp, op10_media_matroska)}
+def media_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packet table of every document's media, summed up by document."""
+    packets = matroska.packet_table(matroska.store_media(_table(spark, sf_dir, "documents")))
+    size = F.col("byte_end") - F.col("byte_start")
+    return packets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("packets"), F.countDistinct("track").alias("tracks"), F.max("time_ns").alias("last_ns"), F.sum(size).alias("bytes"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_voronoi_topk, op2_sentencepiece_wfst, op3_chat_collapse, op4_token_store, op5_simhash_gray, op6_quality_ordinal, op7_language_hd, op8_toxicity_bigru, op9_packing_lp, op10_media_matroska, media_packets)}
 
 ORACLES: dict[str, str] = {
     "op1_voronoi_topk": """
@@ -77,4 +84,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """,
     "op3_chat_collapse": chat.ORACLE,
+    "media_packets": """
+WITH p AS (SELECT doc_id, CAST(greatest(1, ceil(strlen(coalesce(text, '')) / 192.0)) AS BIGINT) AS n FROM documents)
+SELECT doc_id, CAST(sum(n) AS BIGINT) AS packets, CAST(1 AS BIGINT) AS tracks, max(n - 1) * 24000000 AS last_ns, CAST(sum(n) * 192 AS BIGINT) AS bytes FROM p GROUP BY doc_id
+""",
 }

@@ -18,9 +18,12 @@ BATCH_CHARS = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share.  Only where the session names none (tests) a local one is made and set."""
+    """The folder all executors share.  Where the session names none, one is made and set if this machine is all there
+    is (a local master); on a cluster it is an error, since executors would each write to their own disk."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="hirelens-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -100,14 +103,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, value, per_value: dict,
     for v, n in per_value.items():
         part = graded.where(F.col("value") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         chosen = part if chosen is None else chosen.unionByName(part)
+    # A repeated doc_id counts once, by its smallest text, before anything reaches the driver.
     rows = (
         texts(docs)
         .join(F.broadcast(chosen), "doc_id")  # at most sum(per_value) rows
         .where(F.length("text") <= longest)
+        .groupBy("doc_id", "value")
+        .agg(F.min("text").alias("text"))
         .select("doc_id", "text", "value")
         .collect()
     )
-    seen: dict = {}
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"])):
-        seen.setdefault(r["doc_id"], r)  # a repeated doc_id counts once, which also keeps the bound
-    return [seen[k] for k in sorted(seen)]
+    return sorted(rows, key=lambda r: r["doc_id"])

@@ -7,7 +7,8 @@ Index: distinct fingerprints in the order of their Gray rank, in which neighbour
 FAN children in a row and holds the bits all of them share, less those its parent holds already.  A search adds up
 the differing bits from the root down and leaves a whole group once they pass the limit; a group whose free
 bits cannot take it past the limit is accepted as a whole.  The range-partitioned order is cut into parts; the
-shared bits of a part (one row a part on the driver) decide which fingerprints of other parts visit it.  A
+shared bits of the parts (one row a part on the driver) are nodes of the same kind, and a walk down them finds
+the other parts that a fingerprint must visit.  A
 fingerprint has at most 1 + 64 + 2016 others within two bits, so links of distinct fingerprints cannot grow with the square.
 
 Components: each part reduces its links to a star for each local group, then large-star and small-star
@@ -25,11 +26,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .runtime import cut, staged, texts
+from .runtime import cut, drop_staged, staged, texts
 
 SEED, SHINGLE, LIMIT, FAN = 42, 3, 2, 16
 #: Shingles counted in one step; searched fingerprints in one step; fingerprints in a part.
@@ -171,6 +172,29 @@ def _local(table: pa.Table) -> pa.Table:
     return pa.table({"u": names[linked], "v": names[label[linked]]})
 
 
+def part_tree(both: np.ndarray, either: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Nodes over the parts, from the top: (pattern, shared bits, parts a node spans) of each level."""
+    levels, span = [(both, ~(both ^ either), 1)], 1
+    while len(both) > 1:
+        cuts = np.arange(0, len(both), FAN)
+        both, either, span = np.bitwise_and.reduceat(both, cuts), np.bitwise_or.reduceat(either, cuts), span * FAN
+        levels.append((both, ~(both ^ either), span))
+    return levels[::-1]
+
+
+def later_parts(tree: list[tuple[np.ndarray, np.ndarray, int]], code: np.ndarray, part: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code, part) for parts after a code's own in which a link may be: a walk down the nodes whose shared bits allow one."""
+    row, node = np.arange(len(code)), np.zeros(len(code), np.int64)
+    for depth, (pattern, shared, span) in enumerate(tree):
+        alive = (np.bitwise_count((code[row] ^ pattern[node]) & shared[node]) <= limit) & ((node + 1) * span - 1 > part[row])
+        row, node = row[alive], node[alive]
+        if depth + 1 < len(tree):
+            row, node = np.repeat(row, FAN), (node[:, None] * FAN + np.arange(FAN)).ravel()
+            there = node < len(tree[depth + 1][0])
+            row, node = row[there], node[there]
+    return row, node
+
+
 def links(codes: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Edges (u > v) over distinct codes that connect what links within `limit` bits connect.  codes: column code."""
     ranked = codes.select("code", gray_rank("code").alias("rank"))
@@ -179,18 +203,17 @@ def links(codes: DataFrame, limit: int = LIMIT) -> DataFrame:
     placed = staged(ranked.repartitionByRange(parts, "rank").select("code", "rank", F.spark_partition_id().alias("part")), "gray")
     roots = placed.groupBy("part").agg(F.bit_and("code").alias("both"), F.bit_or("code").alias("either")).orderBy("part").collect()  # a row a part
     number = np.array([r["part"] for r in roots], np.int64)
-    both = np.array([r["both"] for r in roots], np.int64).view(np.uint64)
-    shared = ~(both ^ np.array([r["either"] for r in roots], np.int64).view(np.uint64))
+    tree = part_tree(np.array([r["both"] for r in roots], np.int64).view(np.uint64), np.array([r["either"] for r in roots], np.int64).view(np.uint64))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A code goes to its own part, and to later parts whose shared bits allow a link; so each pair meets once."""
         for whole in batches:
-            for i in range(0, whole.num_rows, 4096):
-                b = whole.slice(i, 4096)
-                code, rank, part = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()
-                near = np.bitwise_count((code.view(np.uint64)[:, None] ^ both) & shared) <= limit
-                row, to = np.nonzero((near & (number > part[:, None])) | (number == part[:, None]))
-                yield pa.RecordBatch.from_arrays([pa.array(number[to]), pa.array(code[row]), pa.array(rank[row]), pa.array(number[to] == part[row])], ["target", "code", "rank", "own"])
+            for i in range(0, whole.num_rows, SEARCHED):
+                b = whole.slice(i, SEARCHED)
+                code, rank, part = b.column(0).to_numpy(), b.column(1).to_numpy(), np.searchsorted(number, b.column(2).to_numpy())
+                row, to = later_parts(tree, code.view(np.uint64), part, limit)
+                row, to = np.r_[np.arange(len(code)), row], np.r_[part, to]
+                yield pa.RecordBatch.from_arrays([pa.array(number[to]), pa.array(code[row]), pa.array(rank[row]), pa.array(to == part[row])], ["target", "code", "rank", "own"])
 
     return placed.mapInArrow(visit, "target long, code long, rank long, own boolean").groupBy("target").applyInArrow(_local, "u long, v long")
 
@@ -210,7 +233,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        e, old = staged(small, "edges"), state
+        before, e, old = e, staged(small, "edges"), state
+        drop_staged(before)  # nothing reads it any more
         state = mark(e)
         if state == old:
             break
@@ -260,6 +284,6 @@ def keep_one(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     unclear = plain.join(repeated, own_id == F.col("doc_id"), "left_semi").unionByName(plain.where(own_id.isNull()))
     coded = unclear.mapInArrow(mark, StructType([*plain.schema.fields, StructField("own_code", LongType())]))
     hit = coded.join(nameless, own_id.eqNullSafe(F.col("doc_id")) & (F.col("own_code") == F.col("code")), "left_semi").withColumn("own_id", own_id)
-    one = Window.partitionBy("own_id", "own_code").orderBy(F.xxhash64(*[c for c, t in plain.dtypes if not t.startswith("map")]))
-    chosen = hit.withColumn("place", F.row_number().over(one)).where("place = 1").select(*plain.columns)
+    whole, order = F.struct(*plain.columns), F.xxhash64(*[c for c, t in plain.dtypes if not t.startswith("map")])
+    chosen = hit.groupBy("own_id", "own_code").agg(F.min_by(whole, order).alias("row")).select("row.*")  # partial: many rows alike are no hot group
     return out.unionByName(chosen).toDF(*names)

@@ -169,6 +169,18 @@ def test_chat_collapse(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_turns_without_numbers_are_many_groups(spark):
+    """A conversation of 2000 turns without numbers, and one that is its prefix: in the order of role and text."""
+    texts = sorted(f"{k % 97:02d} text {k}" for k in range(2000))
+    rows = [(1, None, "user", t) for t in texts] + [(2, None, "user", t) for t in texts[:1500]] + [(3, None, "user", t) for t in texts[1:]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(8)
+    placed = chat.placed_turns(df)
+    assert placed.groupBy(*chat.PLACE).count().agg(F.max("count")).first()[0] < 200
+    out = sorted(chat.format_chats(df).collect(), key=lambda r: (r["conv_id"], r["segment"]))
+    assert {r["conv_id"] for r in out} == {1, 3}
+    assert "".join(r["rendered"] for r in out if r["conv_id"] == 1) == "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for t in texts)
+
+
 # 4
 
 
@@ -273,6 +285,23 @@ def test_gray_index_finds_all_links_across_parts(spark, monkeypatch):
     assert {c: got.get(c, c) for c in codes} == label
 
 
+def test_codes_visit_the_parts_that_may_hold_a_link():
+    r = np.random.default_rng(2)
+    codes = np.unique(r.integers(0, 1 << 64, 4000, np.uint64))
+    rank = codes.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    codes = codes[np.argsort(rank)]
+    cuts = np.arange(0, len(codes), 7)
+    both, either = np.bitwise_and.reduceat(codes, cuts), np.bitwise_or.reduceat(codes, cuts)
+    part = np.arange(len(codes)) // 7
+    row, to = simhash.later_parts(simhash.part_tree(both, either), codes, part, 2)
+    near = np.bitwise_count((codes[:, None] ^ both) & ~(both ^ either)) <= 2
+    want = set(zip(*np.nonzero(near & (np.arange(len(cuts)) > part[:, None])), strict=True))
+    assert set(zip(row, to, strict=True)) == want
+    assert simhash.later_parts(simhash.part_tree(both[:1], either[:1]), codes[:7], part[:7], 2)[0].size == 0
+
+
 def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long")
     assert {(r["u"], r["v"]) for r in simhash.components(edges).collect()} == {(i, 0) for i in range(1, 61)}
@@ -355,6 +384,19 @@ def test_profiles_are_bundles_of_bound_letters(monkeypatch):
     assert np.allclose(whole, parts, atol=whole.max() * 0.1)
 
 
+def test_profiles_of_many_letters_stay_small():
+    """A million CJK characters of 20,000 kinds, within 500 MB."""
+    import tracemalloc
+
+    r = np.random.default_rng(4)
+    text = "".join(map(chr, r.integers(0x4E00, 0x4E00 + 20_000, 1_000_000)))
+    tracemalloc.start()
+    vectors, n = langid.profiles([text], langid.DIMENSIONS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n[0] == 1_000_000 and np.linalg.norm(vectors[0]) > 0 and peak < 500e6
+
+
 def test_language_gate_rejects_what_was_not_learned(spark):
     import corpus_pipeline
 
@@ -375,10 +417,12 @@ def test_language_gate_rejects_what_was_not_learned(spark):
 
 
 def test_toxicity_separates_and_generalises(spark, odd, empty):
-    df, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    df, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out, marks = by_id(toxicity.score(df, labels)), {r["doc_id"]: r["toxic"] for r in labels.collect()}
     held = [i for i in marks if out[i]["held_out"]]
-    assert sum(out[i]["predicted"] == marks[i] for i in held) >= 0.9 * len(held)
+    toxic, said = [i for i in held if marks[i]], [i for i in held if out[i]["predicted"]]
+    caught = sum(marks[i] for i in said)
+    assert len(toxic) >= 10 and caught >= 0.75 * len(toxic) and caught >= 0.85 * len(said)  # recall and precision
     got = toxicity.score(odd, labels).collect()
     assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity.score(empty, labels).count() == 0
@@ -564,7 +608,7 @@ def test_queries_agree_with_sql(spark):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("embeddings", "conversations"):
+    for t in ("embeddings", "conversations", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in queries.ORACLES.items():
         got = queries.QUERIES[name](spark, SF)
