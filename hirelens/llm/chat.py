@@ -91,8 +91,7 @@ def format_chats(conversations: DataFrame, bucket: int = BUCKET) -> DataFrame:
     kept = maximal(staged(prefixes(placed, ahead, bucket), "prefixes"))
     place = F.col("within") + F.col("before0")
     parts = (
-        placed.join(kept, "conv_id")
-        .join(ahead, PLACE)
+        placed.join(ahead.join(kept, "conv_id"), PLACE)
         .select("conv_id", F.floor((place - 1) / bucket).cast("long").alias("segment"), place.alias("place"), "n_turns", "copies", render().alias("line"))
         .groupBy("conv_id", "segment")
         .agg(F.max("n_turns").alias("n_turns"), F.max("copies").alias("copies"), F.sort_array(F.collect_list(F.struct("place", "line"))).alias("lines"))  # at most `bucket` turns
