@@ -1,12 +1,15 @@
 """The stages in order (Q9): union, image fill, role, screen, wording, rating, core technologies, career, history.
 
 One frame goes through all of them: a row that a gate drops keeps its fate (stage, verdict, grounds) and takes no part in
-what follows.  So the final rows, the reports and the funnel are each one pass over the input, whatever gates are set;
-only the merge across sites reads its keys beforehand.
+what follows.  So the final rows, the reports and the funnel all come from that one frame.  Two gates look at other rows
+first (the merge across sites at keys, wording at marked companies); before them the frame is written to the folder
+that spark.checkpoint.dir names and read again, so what stands before is worked out once.  Without such a folder
+it is worked out again.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +37,8 @@ class Context:
     title: Column | None = None
 
 
+#: Gates that read their input more than once.
+READ_TWICE = ("filter", "nuance")
 STAGES = ["merged", "image", "role", "filter", "nuance", "rating", "core", "career"]
 
 
@@ -62,6 +67,17 @@ class Result:
         return counts.select(F.inline(F.array(*each)))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df from a table in the shared folder, if the session names one: lineage ends there."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        return df
+    path = f"{base.rstrip('/')}/hirelens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run(postings: DataFrame, ctx: Context) -> Result:
     """Every dropped row is in the report with its stage; a gate without its side table is passed over."""
     steps = {
@@ -78,6 +94,8 @@ def run(postings: DataFrame, ctx: Context) -> Result:
     for name, (runs, step) in steps.items():
         if not runs:
             continue
+        if name in READ_TWICE and len(ran) > 1:
+            rows = written(rows, name)
         g = step(rows, F.col("fate").isNull())
         said = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in g.detail]
         fate = F.struct(F.lit(STAGES.index(name)).alias("pos"), F.lit(name).alias("stage"), F.col("verdict"), F.concat_ws(" · ", *said).alias("detail"))
