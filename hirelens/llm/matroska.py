@@ -267,7 +267,7 @@ def to_media(docs: DataFrame) -> DataFrame:
 
 
 def store_media(docs: DataFrame) -> DataFrame:
-    """to_media() written to the shared folder and read back.  Files are of unlike sizes, so row groups are small."""
+    """to_media() written to the shared folder and read back."""
     return staged(to_media(docs), "media")
 
 
