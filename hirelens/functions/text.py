@@ -201,9 +201,11 @@ def log_lines(c: Column) -> Column:
 
 
 def spoken(seconds: Column) -> Column:
-    """An age in words."""
-    h, m = F.floor(seconds / 3600), F.floor(seconds % 3600 / 60)
-    return F.concat(F.when(h > 0, F.concat(h.cast("string"), F.lit("시간 "))).otherwise(F.lit("")), m.cast("string"), F.lit("분 전"))
+    """An age in words: its largest unit and the next smaller one, if that is not zero."""
+    m, h, d = F.floor(seconds / 60), F.floor(seconds / 3600), F.floor(seconds / 86400)
+    part = lambda n, unit: F.when(n > 0, F.concat(n.cast("string"), F.lit(unit)))
+    hours, days = F.concat_ws(" ", part(h, "시간"), part(m % 60, "분")), F.concat_ws(" ", part(d, "일"), part(h % 24, "시간"))
+    return F.when(seconds < 60, "방금").otherwise(F.concat(F.when(seconds < 3600, part(m, "분")).when(seconds < 86400, hours).otherwise(days), F.lit(" 전")))
 
 
 def first_json(c: Column) -> Column:

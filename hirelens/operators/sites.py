@@ -32,6 +32,27 @@ DATE = r"(\d{4})[.\-/](\d{1,2})[.\-/](\d{1,2})"
 DAY = r"(\d{1,2})\s*[./-]\s*(\d{1,2})"
 DETAIL_DATE = r"마감일\s*(\d{4})\.(\d{2})\.(\d{2})"
 MAP_WORDS = r"\s*(지도보기|주변정보|약도)\s*$"
+#: Listing pages: where advertisements end, the start of a block with its id, and the place of each field in it.
+ADS_END, HEAD = "전체 채용정보", 600
+TOTAL = r"전체 채용정보\s+([\d,]+)\s*건"
+SARAMIN_ITEM = r'<div id="rec-(\d+)" class="list_item[^"]*">'
+SARAMIN_FIELDS = {
+    "company": (r'class="col company_nm">.*?<(a|span)[^>]*class="str_tit"[^>]*>(.*?)</\1>', 2),
+    "title": (r'<div class="job_tit">.*?<span>(.*?)</span>', 1),
+    "sector": (r'<span class="job_sector">(.*?)</span>\s*(?:외)?\s*</span>', 1),
+    "place": (r'<p class="work_place">(.*?)</p>', 1),
+    "career": (r'<p class="career">(.*?)</p>', 1),
+    "education": (r'<p class="education">(.*?)</p>', 1),
+    "deadline": (r'<span class="date">(.*?)</span>', 1),
+}
+JOBKOREA_ITEM = r'<tr class="devloopArea"[^>]*data-gno="(\d+)"'
+JOBKOREA_FIELDS = {
+    "company": (r'<td class="tplCo"[^>]*>.*?<a[^>]*>(.*?)</a>', 1),
+    "title": (r'<div class="titBx">.*?<strong>\s*<a[^>]*>(.*?)</a>', 1),
+    "summary": (r'<p class="dsc">(.*?)</p>', 1),
+    "deadline": (r'<span class="date[^"]*">(.*?)</span>', 1),
+}
+JOBKOREA_CELLS, JOBKOREA_CELL = r'<p class="etc">(.*?)</p>', r'<span class="cell">(.*?)</span>'
 TAG = r'/zf_user/jobs/list/job-category\?cat_kewd=(\d+)"[^>]*?>#([^<]{1,40})</a>'
 BODY_WANTED = ["intro", "main_tasks", "requirements", "preferred_points", "benefits", "hire_rounds"]
 PROSE_JOBPLANET = ["required_qualification", "preferred_skill", "primary_responsibility"]
@@ -267,6 +288,49 @@ def listing_blocks(page: Column, marker: str) -> Column:
     return F.filter(F.split(page, f"(?={marker})"), lambda x: x.rlike(f"^(?:{marker})"))
 
 
+def _untagged(c: Column) -> Column:
+    return unescape(F.regexp_replace(c, "<[^>]+>", " "))
+
+
+def _field(block: Column, pattern: str, group: int) -> Column:
+    return squeeze(_untagged(F.regexp_extract(block, f"(?s){pattern}", group)))
+
+
+def behind_ads(page: Column) -> Column:
+    """A listing page from the words that end its advertisements on; all of a page without them."""
+    p = _or_empty(page)
+    return F.substr(p, F.greatest(F.instr(p, ADS_END), F.lit(1)))
+
+
+def saramin_total(page: Column) -> Column:
+    """The total a page reports at the head of its listing; null if it has none."""
+    head = squeeze(F.regexp_replace(F.substring(behind_ads(page), 1, HEAD), "<[^>]+>", " "))
+    return F.when(head.rlike(TOTAL), F.translate(F.regexp_extract(head, TOTAL, 1), ",", "").try_cast("long"))
+
+
+def jobkorea_total(answer: Column) -> Column:
+    """The total, if the answer is a number and nothing else."""
+    plain = F.regexp_replace(_or_empty(answer), "<[^>]+>", "")
+    return F.when(plain.rlike(r"(?U)^\s*[\d,]+\s*$"), F.regexp_replace(plain, r"[^\d]", "").try_cast("long"))
+
+
+def saramin_listing(pages: DataFrame) -> DataFrame:
+    """The blocks behind the advertisements of pages (page, html), the first of each id.  A field that a block lacks is empty."""
+    blocks = pages.select("page", F.posexplode(listing_blocks(behind_ads(F.col("html")), SARAMIN_ITEM)).alias("pos", "block"))
+    fields = [_field(F.col("block"), *at).alias(name) for name, at in SARAMIN_FIELDS.items()]
+    return _first_listed(blocks.select("page", "pos", F.struct(F.regexp_extract("block", SARAMIN_ITEM, 1).alias("rec_idx"), *fields).alias("item")), "rec_idx").select("item.*")
+
+
+def jobkorea_listing(pages: DataFrame) -> DataFrame:
+    """As S7, of fragments (page, html).  cells: the conditions, five or six of them, in order."""
+    blocks = pages.select("page", F.posexplode(listing_blocks(_or_empty(F.col("html")), JOBKOREA_ITEM)).alias("pos", "block"))
+    found = F.regexp_extract_all(F.regexp_extract("block", f"(?s){JOBKOREA_CELLS}", 1), F.lit(f"(?s){JOBKOREA_CELL}"), F.lit(1))
+    plain = F.transform(F.split(_untagged(F.array_join(found, "\x01")), "\x01"), squeeze)
+    cells = F.when(F.size(found) == 0, F.array().cast("array<string>")).otherwise(plain)
+    fields = [_field(F.col("block"), *at).alias(name) for name, at in JOBKOREA_FIELDS.items()]
+    return _first_listed(blocks.select("page", "pos", F.struct(F.regexp_extract("block", JOBKOREA_ITEM, 1).alias("gno"), *fields, cells.alias("cells")).alias("item")), "gno").select("item.*")
+
+
 def summary_field(page: Column, label: str) -> Column:
     """The value of a labelled entry of a definition list."""
     return squeeze(F.regexp_replace(F.regexp_extract(_or_empty(page), rf"(?s)<dt>\s*{label}\s*</dt>\s*<dd>(.*?)</dd>", 1), r"<[^>]+>", " "))
@@ -283,11 +347,15 @@ def own_postings(listing: DataFrame) -> DataFrame:
     return listing.where(F.col("posting_apply_type").isin("jobplanet", "outlink"))
 
 
+def _first_listed(each: DataFrame, key: str) -> DataFrame:
+    return each.groupBy(F.col(f"item.{key}").alias(key)).agg(F.min_by("item", F.struct("page", "pos")).alias("item"), F.min(F.struct("page", "pos")).alias("place"))
+
+
 def listed(pages: DataFrame, items_: str, key: str) -> DataFrame:
-    """The items of JSON listing pages (page, and an array of structs), the first of each id that is not null, in order.
-    The first is found on the id alone; the items follow by its place."""
+    """The items of JSON listing pages (page, and an array of structs), the first of each id that is not null, with
+    its place.  An aggregate keeps one item an id before the shuffle."""
     each = pages.select("page", F.posexplode(items_).alias("pos", "item")).where(F.col(f"item.{key}").isNotNull())
-    return each.groupBy(F.col(f"item.{key}").alias(key)).agg(F.min_by("item", F.struct("page", "pos")).alias("item"), F.min(F.struct("page", "pos")).alias("place"))
+    return _first_listed(each, key)
 
 
 def reconcile(listing: DataFrame, reported: DataFrame) -> DataFrame:

@@ -176,6 +176,10 @@ class Matcher:
         d = self.dictionary
         return _on_arrays(lambda n: [n] if n and n.strip() and not d.known(n) else [])(names)
 
+    def look_alikes(self, names: Column) -> Column:
+        """Standard names that look like some names, each once: what a report warns of."""
+        return F.array_distinct(_on_arrays(self.dictionary.similar)(names))
+
     def resolved(self, names: Column) -> Column:
         """X7 over an array of tags."""
         d = self.dictionary

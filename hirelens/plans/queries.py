@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import markup, rules, text, wording
 from ..operators import analytics as an
-from ..operators import dedup, gates, lookups, merge, sections, sites, skills
-from ..schema import CAREER, COMPANY, FIRST, LAST, ORD, PREF, REQ, SITE, SITES, TECH, TITLE, URL
+from ..operators import dedup, gates, images, lookups, merge, sections, sites, skills
+from ..schema import CAREER, COMPANY, DEADLINE, FIRST, LAST, ORD, PLACE, PREF, REQ, SALARY, SITE, SITES, TECH, TITLE, URL
 from ..sources.files import gather_bodies
 from ..streaming import history
 from . import pipeline
@@ -675,6 +675,77 @@ def site_run_summary(spark, d):
     return an.run_summary(log)
 
 
+def _escaped(c):
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(sign), F.lit(entity))
+    return c
+
+
+def _html(*parts):
+    return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+
+ONE_LINE = r"trim(regexp_replace(replace({}, chr(160), ' '), '\s+', ' ', 'g'))"
+
+
+def _listing(spark, d, head, block):
+    """A page for each posting: what stands before the listing, the posting's block, and a further block of its id."""
+    p = postings(spark, d)
+    page = F.concat(head, block(_escaped(F.col(COMPANY))), block(F.lit("again")))
+    return p.select(F.col(ORD).alias("page"), page.alias("html"))
+
+
+@query(f"""SELECT CAST(ord AS VARCHAR) AS rec_idx, {ONE_LINE.format('company')} AS company, {ONE_LINE.format('title')} AS title, '백엔드 , 서버' AS sector, place, {ONE_LINE.format('career')} AS career, '' AS education,
+ CASE WHEN ord % 2 = 0 THEN deadline ELSE '' END AS deadline, CASE WHEN ord % 7 > 0 THEN ord * 1000 + 7 END AS total FROM p""")
+def listing_saramin(spark, d):
+    ad = '<div id="rec-7" class="list_item"><p class="career">광고</p></div>'
+    head = F.when(F.col(ORD) % 7 > 0, _html(ad, "<h2>전체 채용정보 <b>", F.format_number(F.col(ORD) * 1000 + 7, 0), "</b>\n건</h2>")).otherwise("")
+
+    def block(company):
+        name = F.when(F.col(ORD) % 3 == 0, _html('<span class="str_tit">', company, "</span>")).otherwise(_html('<a href="x" class="str_tit">', company, "</a>"))
+        return _html(
+            '<div id="rec-', F.col(ORD).cast("string"), F.when(F.col(ORD) % 5 == 0, '" class="list_item effect">').otherwise('" class="list_item">'), '<div class="col company_nm">\n', name, '</div><div class="job_tit"><a><span>',
+            _escaped(F.col(TITLE)), '</span></a></div><span class="job_sector"><span>백엔드</span>, <span>서버</span> 외</span><p class="work_place">', F.col(PLACE), '</p><p class="career">', _escaped(F.col(CAREER)),
+            "</p>", F.when(F.col(ORD) % 2 == 0, _html('<span class="date">', F.col(DEADLINE), "</span>")).otherwise(""), "</div>",
+        )
+
+    pages = _listing(spark, d, head, block)
+    totals = pages.select(F.col("page").cast("string").alias("rec_idx"), sites.saramin_total(F.col("html")).alias("total"))
+    return sites.saramin_listing(pages).join(totals, "rec_idx")
+
+
+@query(f"""SELECT CAST(ord AS VARCHAR) AS gno, {ONE_LINE.format('company')} AS company, {ONE_LINE.format('title')} AS title, '서버 & 웹' AS summary, deadline,
+ CASE WHEN ord % 4 = 0 THEN [] WHEN salary = '' THEN [{ONE_LINE.format('career')}, '학력 무관', place] ELSE [{ONE_LINE.format('career')}, '학력 무관', place, salary] END AS cells FROM p""")
+def listing_jobkorea(spark, d):
+    def block(company):
+        cell = lambda c: _html('<span class="cell">', c, "</span>")
+        cells = _html(cell(_escaped(F.col(CAREER))), cell("학력<b>무관</b>"), cell(F.col(PLACE)), F.when(F.col(SALARY) != "", cell(F.col(SALARY))).otherwise(""))
+        return _html(
+            '<tr class="devloopArea" data-x="1" data-gno="', F.col(ORD).cast("string"), '"><td class="tplCo"><a href="x">', company, '</a></td><div class="titBx"><div class="badge"></div><strong><a>', _escaped(F.col(TITLE)),
+            '</a></strong></div><p class="dsc">서버 &amp;\n웹</p>', F.when(F.col(ORD) % 4 > 0, _html('<p class="etc">', cells, "</p>")).otherwise(""), '<span class="date dotum">', F.col(DEADLINE), "</span></tr>",
+        )
+
+    return sites.jobkorea_listing(_listing(spark, d, F.lit("<table>"), block))
+
+
+BANDS = """WITH f AS (SELECT l_orderkey AS image, l_linenumber AS y FROM lineitem GROUP BY 1, 2 HAVING max(l_quantity) - min(l_discount) <= 30),
+s AS (SELECT image, y, CASE WHEN y - lag(y) OVER w = 1 THEN 0 ELSE 1 END AS begins FROM f WINDOW w AS (PARTITION BY image ORDER BY y)),
+r AS (SELECT *, sum(begins) OVER (PARTITION BY image ORDER BY y) AS run FROM s) SELECT image, min(y) AS first, max(y) AS last FROM r GROUP BY image, run"""
+
+
+@query(BANDS, view=False)
+def flat_row_bands(spark, d):
+    """Order lines stand for rows of an image: quantity is the brightest pixel of a row, discount the darkest."""
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("y")).agg(F.min("l_discount").alias("darkest"), F.max("l_quantity").alias("brightest"))
+    return images.flat_bands(rows, "image", "y", images.is_flat(F.col("darkest"), F.col("brightest"), 30))
+
+
+@query("""SELECT doc_id, CASE WHEN s < 60 THEN '방금' WHEN s < 3600 THEN s // 60 || '분 전' WHEN s < 86400 AND s % 3600 < 60 THEN s // 3600 || '시간 전' WHEN s < 86400 THEN s // 3600 || '시간 ' || s % 3600 // 60 || '분 전'
+ WHEN s % 86400 < 3600 THEN s // 86400 || '일 전' ELSE s // 86400 || '일 ' || s % 86400 // 3600 || '시간 전' END AS age FROM (SELECT doc_id, doc_id * doc_id AS s FROM documents)""", view=False)
+def age_in_words(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.spoken(F.col("doc_id") * F.col("doc_id")).alias("age"))
+
+
 CORE = ["Java", "Kotlin", "Python"]
 
 

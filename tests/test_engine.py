@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelens.functions import markup, rules, text, wording
-from hirelens.operators import analytics, dedup, gates, lookups, merge, sections, sites, skills
+from hirelens.operators import analytics, dedup, gates, images, lookups, merge, sections, sites, skills
 from hirelens.plans import pipeline, queries, view
 from hirelens.schema import COLUMNS, COMPANY, FIRST, LAST, ORD, POSTING_SCHEMA, PREF, REQ, SITE, TECH, TITLE, URL, as_postings
-from hirelens.sources import files
+from hirelens.sources import conditions, files
 from hirelens.streaming import history
 
 SF = "/root/testdata/sf0.001"
@@ -40,7 +40,7 @@ def plain(v):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "labels", "pages", "events", "orders", "part", "customer", "supplier", "nation", "region"):
+    for t in ("documents", "labels", "pages", "events", "lineitem", "orders", "part", "customer", "supplier", "nation", "region"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -247,6 +247,11 @@ def test_dictionary():
     assert m.find("S3와 자바를 쓰고 자바선 React18") == ["React", "Java"]
 
 
+def test_look_alikes(spark):
+    m = skills.Matcher(["Spring Boot", "SpringBoot", "Java"])
+    assert one(spark, lambda c: m.look_alikes(F.array(c)), "Spring-Boot") == ["SpringBoot", "Spring Boot"]  # as like; the later one in the alphabet first
+
+
 def test_matcher_columns(spark):
     m = skills.Matcher(["Java", "Spring", "AWS"], rejected={"풀스택"})
     r = spark.createDataFrame([(["AWS/java", "java-x", "풀스택", None], ["JAVA 17", "nope", None], None)], "a array<string>, c array<string>, n array<string>")
@@ -294,6 +299,79 @@ def test_listing_pages(spark):
     assert {r["id"]: r["item"]["n"] for r in sites.listed(pages, "items", "id").collect()} == {"a": 1, "b": 2}
 
 
+def test_listings_of_several_pages(spark):
+    block = '<div id="rec-{}" class="list_item"><div class="col company_nm"><span class="str_tit">{}</span></div></div>'
+    ad = block.format(9, "광고") + "전체 채용정보 1,002 건"
+    pages = spark.createDataFrame([(2, block.format(1, "둘") + block.format(2, "A &amp;&nbsp;B")), (1, ad + block.format(1, "하나")), (3, None), (4, "")], "page int, html string")
+    assert sorted((r["rec_idx"], r["company"], r["title"]) for r in sites.saramin_listing(pages).collect()) == [("1", "하나", ""), ("2", "A & B", "")]
+    assert [one(spark, sites.saramin_total, x) for x in (ad, "전체 채용정보", None)] == [1002, None, None]
+    assert [one(spark, sites.jobkorea_total, x) for x in (" 1,057\n", "<b>57</b>", "57건", "", None)] == [1057, 57, None, None, None]
+    assert sites.jobkorea_listing(pages).count() == 0
+
+
+def test_flat_bands(spark):
+    flat = [True, True, False, True, None, True, True, True, False]
+    rows_ = spark.createDataFrame([("a", y, f) for y, f in enumerate(flat)] + [("b", 0, False)], "k string, y int, flat boolean")
+    bands = lambda **kw: sorted(tuple(r) for r in images.flat_bands(rows_, "k", "y", F.col("flat"), **kw).collect())
+    assert bands() == [("a", 0, 1), ("a", 3, 3), ("a", 5, 7)] and bands(low=1, high=7) == [("a", 1, 1), ("a", 3, 3), ("a", 5, 6)] and bands(least=2) == [("a", 5, 7)]
+
+
+ROLES = {"백엔드": "백엔드", "서버": "백엔드", "웹": "웹"}
+
+
+def test_env_files(tmp_path):
+    f = tmp_path / ".env"
+    f.write_text("""# c\nexport A = x y # note\nB="q # \\"r\\"\\n2"\nC='it''s'\nD= # only a comment\nE=C#,F# \nNONE\nA=2\n""")
+    env = conditions.read_env(f)
+    assert env["A"] == "2" and env["B"] == 'q # "r"\n2' and env["E"] == "C#,F#" and env["NONE"] is None and conditions.uncommented(env["D"]) == ""
+    assert conditions.listed("C#, ,Java # x") == ["C#", "Java"]
+    with pytest.raises(conditions.ConditionError):
+        conditions.read_env(tmp_path / "none")
+
+
+@pytest.mark.parametrize("env", [{}, {"JOB_ROLES": "요리"}, {"JOB_ROLES": "웹", "YOE": "21"}, {"JOB_ROLES": "웹", "YOE": "x"}, {"JOB_ROLES": "웹", "EMPLOYMENT_TYPES": "정규직"}, {"JOB_ROLES": "웹", "EDUCATION": "중졸"}])
+def test_conditions_not_understood(env):
+    for site in ("saramin", "jobkorea", "jobplanet", "jumpit"):
+        with pytest.raises(conditions.ConditionError):
+            conditions.load(site, env, ROLES, {"웹": [87]})
+
+
+@pytest.mark.parametrize(
+    ("site", "places", "want"),
+    [
+        ("saramin", {"loc_mcd": ["101000", "102000"]}, ["?cat_kewd=84%2C87&search_optional_item=y&search_done=y&panel_count=y&preview=y&recruitSort=relation&recruitPageCount=50&exp_cd=2&exp_min=3&edu_min=8&edu_max=11&loc_mcd=101000%2C102000&job_type=1%2C4"]),
+        ("jobkorea", {"local": ["I000"]}, ["?menucode=duty&duty=84%2C87&local=I000&career=2&edu=5&jobtype=1%2C3"]),
+        ("jobplanet", {"city": []}, ["?occupation_level2=84%2C87&job_type=3&years_of_experience=0%2C3"]),
+        ("jumpit", {"locationTag": ["a", "b"]}, ["?sort=popular&jobCategory=84&jobCategory=87&locationTag=a&locationTag=b&career=3"]),
+        ("wanted", {"locations": ["seoul.all"]}, [f"?country=kr&job_group_id={g}&job_sort=job.latest_order&job_ids=84&job_ids=87&locations=seoul.all&employment_types=job.employment_type.regular&employment_types=job.employment_type.intern&years=3" for g in (518, 507)]),
+    ],
+)
+def test_searches(site, places, want):
+    env = {"JOB_ROLES": "서버, 백엔드,웹", "YOE": "3 # years", "EDUCATION": "대졸4", "EMPLOYMENT_TYPES": "regular,intern"}
+    c = conditions.load(site, env, ROLES, {"백엔드": [84, 87], "웹": []})
+    assert c.missing_roles == ("웹",) and c.unsupported_employment == {"jobplanet": ["intern"], "jumpit": ["regular", "intern"]}.get(site, [])
+    assert [conditions.query_string(site, x) for x in conditions.searches(c, places, {"84": 518, "87": 507})] == want
+
+
+def test_search_borders():
+    assert [conditions.experience(s, y) for s, y in (("saramin", -1), ("saramin", 0), ("jobkorea", 0), ("jobkorea", 16), ("jobplanet", 0), ("jobplanet", 30), ("jumpit", 0))] == [{}, {"exp_cd": "1"}, {"career": "1"}, {"career": "6"}, {"years_of_experience": "0,0"}, {"years_of_experience": "0,11"}, {"career": "0"}]
+    assert conditions.education("saramin", "무관") == {"edu_none": "y"} and conditions.education("jobplanet", "석사") == {}
+    assert conditions.checked_codes(["2", "1", "2"], ["1", "2"]) == ["2", "1"] and conditions.query_string("saramin", {"a": [], "b": None, "c": " "}) == ""
+    for codes in (["9"], ["3"]):
+        with pytest.raises(conditions.ConditionError):
+            conditions.checked_codes(codes, ["1"], ["9"])
+
+
+def test_old_inputs_are_asked_for(tmp_path):
+    f, said = tmp_path / "x.csv", []
+    ask = lambda **kw: conditions.may_use(f, say=said.append, **kw)
+    assert ask()
+    f.write_text("x")
+    now = f.stat().st_mtime + conditions.STALE_AFTER
+    assert ask(now=now - 1) and ask(now=now, yes=True) and ask(now=now, chained=True) and not said
+    assert not ask(now=now) and ask(now=now, ask=lambda: " Yes ") and not ask(now=now, ask=lambda: "") and len(said) == 4
+
+
 def test_files_round_trip(spark, tmp_path):
     p = rows(spark, {"title": 'a "q", b\nc', "req": "줄\n둘"}, {"title": "z"})
     path = str(tmp_path / "x.csv")
