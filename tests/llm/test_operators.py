@@ -630,3 +630,49 @@ def test_pipeline_stages(spark):
     texts = [(r["doc_id"], brute_fingerprint(r["text"])) for r in left.collect() if r["doc_id"] in known]
     firsts = set(brute_components([c for _, c in texts], [i for i, _ in texts]).values())
     assert {r["doc_id"] for r in rows} == firsts
+
+
+def written(spark, folder, docs, labels):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_on_odd_rows(spark, corpus, odd, tmp_path):
+    import corpus_pipeline
+
+    wide = corpus.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"), *[F.lit("x").alias(c) for c in odd.columns[5:]])
+    moved = odd.withColumn("doc_id", F.col("doc_id") + 10_000)
+    labels = spark.read.parquet(f"{SF}/labels.parquet").withColumns({c: F.lit("x") for c in ("text", "value", "score")})
+    sf_dir = written(spark, tmp_path / "odd", wide.unionByName(moved).unionByName(wide.where("doc_id < 20")), labels.unionByName(labels.limit(50)))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns, name
+        before, after = [sorted(map(str, x.collect())) for x in (docs, kept)]
+        assert after and not set(after) - set(before) and len(after) <= len(before), name
+        docs = spark.createDataFrame(kept.collect(), docs.schema)
+    texts = [r["text"] for r in docs.collect()]
+    assert not [t for t in texts if not t or not any(c.isalpha() for c in t)] and len(set(texts)) == len(texts)
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in pieces} == {r["doc_id"] for r in docs.collect()}
+    assert all(0 <= r["offset"] and r["offset"] + r["length"] <= 4096 for r in pieces)
+
+
+def test_pipeline_on_nothing(spark, odd, tmp_path):
+    import corpus_pipeline
+
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert corpus_pipeline.run(spark, written(spark, tmp_path / "empty", odd.limit(0), none)).count() == 0
+    # Without labels nothing is toxic; of the odd rows those in letters are left.
+    docs = spark.createDataFrame([(1, "the cat sat on the mat and then it slept for hours", "en", "s", 50)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.remove_toxic(spark, docs, written(spark, tmp_path / "unlabelled", docs, none)).count() == 1
+
+
+def test_labels_with_clashing_columns(spark, corpus):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    clashing = labels.withColumns({c: F.lit("x") for c in ("text", "value", "lang", "score", "doc")})
+    assert by_id(toxicity.score(corpus, labels)) == by_id(toxicity.score(corpus, clashing))
+    graded = [x.withColumn("grade", F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic"))) for x in (labels, clashing)]
+    first, second = [by_id(ordinal.rate(corpus, x, [0, 1, 2])) for x in graded]
+    assert first == second
