@@ -6,12 +6,12 @@ A document's vector bundles (adds) its trigrams' vectors; a language's prototype
 each scaled to length one.  The prediction is the prototype of greatest cosine.
 
 Only letters count: case is folded and each run of other characters is one blank.  Prototypes are bundled on the
-executors, from at most `per_language` documents a language outside the held-out fold; the driver receives one
-vector a language and task.
+executors, from every document with a language outside the held-out fold; the sums are of whole numbers, so they don't
+depend on the layout, and the driver receives one vector a language.
 
-A gate (keep_known) asks for the cosine that texts of the predicted language reach.  It is set from held-out documents and
-beginnings of them, by the effective number of trigrams: a bundle of few distinct trigrams has a small cosine, whatever
-its language.  Unrelated texts have cosines of about 1 / sqrt(DIMENSIONS).
+A gate (keep_known) asks for the cosine that texts of the predicted language reach.  It is set from all held-out documents
+and beginnings of them, by the effective number of trigrams: a bundle of few distinct trigrams has a small cosine, whatever
+its language.  Cosines are counted in steps of 1 / STEPS, so what a quantile takes is bounded.  Unrelated texts have cosines of about 1 / sqrt(DIMENSIONS).
 
 Edge cases: null texts and texts without letters give `und` with score 0; a null doc_id is never held out and never learned
 from; with no labelled row every text is `und`; ties go to the language that sorts first; repeated rows give
@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from .runtime import cut, fold, texts
 
-DIMENSIONS, PER_LANGUAGE, PARTS, HELD_OUT = 2048, 2000, 4, 2
-#: The gate: held-out documents a language, the lengths of their beginnings, classes of trigram numbers (powers of two),
-#: the quantile that counts, the share of it that is asked for, and the fewest scores a class is set from.
-CALIBRATED, BEGINNINGS, CLASSES, QUANTILE, SHARE, FEWEST = 500, [8 << k for k in range(10)], 16, 0.005, 0.8, 20
+DIMENSIONS, PARTS, HELD_OUT = 2048, 4, 2
+#: Parts of one that a document's vector is rounded to before it is added to its language's.
+UNIT = 1 << 24
+#: The gate: the lengths of held-out documents' beginnings, classes of trigram numbers (powers of two),
+#: the quantile that counts, the share of it that is asked for, the fewest scores a class is set from, and the steps of cosines.
+BEGINNINGS, CLASSES, QUANTILE, SHARE, FEWEST, STEPS = [8 << k for k in range(10)], 16, 0.005, 0.8, 20, 1 << 16
 #: Elements of bound trigrams held at a time, and rows of vectors.
 BOUND, ROWS = 1 << 24, 1000
 #: Characters looked at in one step; longer texts are taken in segments that overlap by two.
@@ -122,33 +124,34 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
+def _labelled(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+
+
+def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """(languages in order, prototypes of length one)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", PARTS) != HELD_OUT))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return [], np.zeros((0, dimensions), np.float32)
-    # A row's place in the order of hashes decides on its part in the sample, so the sample doesn't depend on the layout.
-    share = None
-    for lang, n in counts.items():
-        one = (F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, per_language / n)))
-        share = one if share is None else share | one
+    rows = _labelled(docs).where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", PARTS) != HELD_OUT))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in cut(batch):
-                vectors, _ = profiles(part.column(0).to_pylist(), dimensions)
-                for lang, v in zip(part.column(1).to_pylist(), _unit(vectors), strict=True):
-                    total[lang] = total[lang] + v if lang in total else v.astype(np.float64)
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], ["lang", "v"])
-
-    sums: dict[str, np.ndarray] = {}
-    for r in sorted(rows.where(share).select("text", "lang").mapInArrow(bundle, "lang string, v array<double>").collect(), key=lambda r: (r["lang"], r["v"])):
-        sums[r["lang"]] = sums.get(r["lang"], 0) + np.array(r["v"])
-    langs = sorted(sums)
-    return langs, _unit(np.stack([sums[x] for x in langs])).astype(np.float32) if langs else np.zeros((0, dimensions), np.float32)
+                for i in range(0, part.num_rows, ROWS):
+                    own = part.slice(i, ROWS)
+                    vectors = np.rint(_unit(profiles(own.column(0).to_pylist(), dimensions)[0]) * np.float32(UNIT)).astype(np.int64)
+                    langs, of = np.unique(np.array(own.column(1).to_pylist(), object), return_inverse=True)
+                    for k, lang in enumerate(langs.tolist()):
+                        total[lang] = total.get(lang, 0) + vectors[of == k].sum(0)
+        for lang, v in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions, pa.string()), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(v)], ["lang", "place", "v"])
+
+    sums = rows.select("text", "lang").mapInArrow(bundle, "lang string, place int, v long").groupBy("lang", "place").agg(F.sum("v").alias("v")).toArrow()
+    langs = sorted(set(sums.column("lang").to_pylist()))
+    out = np.zeros((len(langs), dimensions))
+    if langs:
+        of = {lang: k for k, lang in enumerate(langs)}
+        out[[of[x] for x in sums.column("lang").to_pylist()], sums.column("place").to_numpy()] = sums.column("v").to_numpy()
+    return langs, _unit(out).astype(np.float32)
 
 
 def effective(vectors: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -188,32 +191,33 @@ def calibrate(docs: DataFrame, langs: list[str], prototypes: np.ndarray, least:
     A class with few scores takes the next smaller class's; a language without any takes the lowest of the others.
     """
     gates = np.full((len(langs), CLASSES), np.nan)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isin(langs) & (fold("doc_id", PARTS) == HELD_OUT))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(False)
-    for lang, n in counts.items():
-        share = share | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, CALIBRATED / n))))
+    rows = _labelled(docs).where(F.col("lang").isin(langs) & (fold("doc_id", PARTS) == HELD_OUT))
+    place = {lang: k for k, lang in enumerate(langs)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in cut(batch):
                 parts = [(x[:n], g) for x, g in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if x for n in [*[k for k in BEGINNINGS if k < len(x)], len(x)]]
+                parts.sort(key=lambda x: len(x[0]))  # texts of one length have fewer trigrams among them
                 _, score, n, kind = _nearest([x for x, _ in parts], prototypes)
                 there = np.flatnonzero(n > 0)
-                yield pa.RecordBatch.from_arrays([pa.array([parts[i][1] for i in there], pa.string()), pa.array(kind[there], pa.int32()), pa.array(score[there])], ["lang", "kind", "score"])
-
-    scores = rows.where(share).select("text", "lang").mapInArrow(run, "lang string, kind int, score double")
-    for r in scores.groupBy("lang", "kind").agg(F.count(F.lit(1)).alias("n"), F.percentile("score", F.lit(QUANTILE)).alias("low")).where(F.col("n") >= FEWEST).collect():
-        gates[langs.index(r["lang"]), r["kind"]] = SHARE * r["low"]
+                own = np.array([place[g] for _, g in parts], np.int64)[there] * CLASSES + kind[there]
+                values, times = np.unique(own * (STEPS + 1) + np.floor(score[there] * STEPS).astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values // (STEPS + 1)), pa.array(values % (STEPS + 1)), pa.array(times.astype(np.int64))], ["own", "score", "n"])
+
+    # One row for each step that cosines of a language and class have: what a quantile takes doesn't grow with the texts.
+    scores = rows.select("text", "lang").mapInArrow(run, "own long, score long, n long").groupBy("own", "score").agg(F.sum("n").alias("n"))
+    for r in scores.groupBy("own").agg(F.sum("n").alias("n"), F.percentile("score", F.lit(QUANTILE), F.col("n")).alias("low")).where(F.col("n") >= FEWEST).collect():
+        gates[divmod(r["own"], CLASSES)] = SHARE * r["low"] / STEPS
     known = ~np.isnan(gates).all(1)
     gates = np.maximum.accumulate(np.nan_to_num(gates, nan=0.0), axis=1)
     gates[~known] = gates[known].min(0) if known.any() else 0
     return np.maximum(gates, least)
 
 
-def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int = DIMENSIONS) -> DataFrame:
+def identify(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
-    langs, prototypes = learn(docs, per_language, dimensions)
+    langs, prototypes = learn(docs, dimensions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,9 +229,9 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int
     return texts(docs).select("doc_id", "text", held).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, least: float, per_language: int = PER_LANGUAGE) -> DataFrame:
+def keep_known(docs: DataFrame, least: float) -> DataFrame:
     """The rows of docs, all columns, whose text has a language with a score of at least the gate, which is `least` or more."""
-    langs, prototypes = learn(docs, per_language)
+    langs, prototypes = learn(docs)
     gates = calibrate(docs, langs, prototypes, least) if langs else None
     place = docs.columns.index("text")
 

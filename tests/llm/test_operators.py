@@ -413,6 +413,27 @@ def test_language_gate_rejects_what_was_not_learned(spark):
     assert len(lettered & out) >= 0.99 * len(lettered)
 
 
+def test_language_model_and_gate_come_from_every_document(spark):
+    """More documents than 2000 learned and 500 held out a language, whatever the layout."""
+    r = np.random.default_rng(5)
+    rows = [(i, " ".join("".join(r.choice(list(letters), int(r.integers(2, 7)))) for _ in range(int(r.integers(2, 7)))), lang) for i, (letters, lang) in enumerate([("abcdefgh", "x"), ("fghijkl", "y")] * 4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = [x for n in (3, 7) for langs, p in [langid.learn(docs.repartition(n))] for x in (langs, p, langid.calibrate(docs.repartition(n), langs, p, 0.0))]
+    assert out[0] == out[3] == ["x", "y"] and np.array_equal(out[1], out[4]) and np.abs(out[2] - out[5]).max() <= 2 / langid.STEPS
+    held = lambda i: zlib.crc32(str(i).encode()) % langid.PARTS == langid.HELD_OUT
+    for k, lang in enumerate(out[0]):
+        vectors, _ = langid.profiles([t for i, t, g in rows if g == lang and not held(i)])
+        whole = langid._unit(vectors).sum(0)
+        assert np.allclose(out[1][k], whole / np.linalg.norm(whole), atol=1e-5)
+        parts = [t[:n] for i, t, g in rows if g == lang and held(i) for n in [*[b for b in langid.BEGINNINGS if b < len(t)], len(t)]]
+        _, score, n, kind = langid._nearest(parts, out[1])
+        least = 0.0
+        for c in range(langid.CLASSES):
+            own = score[(kind == c) & (n > 0)]
+            least = max(least, langid.SHARE * np.quantile(own, langid.QUANTILE)) if len(own) >= langid.FEWEST else least
+            assert abs(out[2][k, c] - least) <= 2 / langid.STEPS
+
+
 # 8
 
 
