@@ -33,6 +33,18 @@ def byte_alphabet() -> dict[int, str]:
     return {c: chr(c) for c in own} | {c: chr(256 + k) for k, c in enumerate(rest)}
 
 
+#: Marks that often follow a word, and the byte 255, which UTF-8 doesn't have, in the byte alphabet.
+MARKS, NO_TEXT = ".,;:!?|#*%", byte_alphabet()[255]
+
+
+def _no_letter(data: str) -> bool:
+    """Whether bytes, given as Latin-1, are whole characters and begin with one that is no letter."""
+    try:
+        return not data.encode("latin-1").decode()[0].isalpha()
+    except UnicodeDecodeError:
+        return False
+
+
 class ChunkEncoder:
     """encode_all(texts) gives each text's ids as little-endian bytes of `dtype`.
 
@@ -71,6 +83,33 @@ class ChunkEncoder:
         self.line_end = end[0]
         if len(end) != 1:
             self.pattern = None
+        self.apart = bool(self.pattern) and keeps_space and self._apart(spec["model"])
+        if self.apart:
+            self.merges.pre_tokenizer = None
+            self.merges.post_processor = None
+            self.line_end = self.merges.encode(NO_TEXT, add_special_tokens=False).ids[0]
+
+    def _apart(self, model: dict) -> bool:
+        """Whether no merge holds the byte that no text has, or joins letters to MARKS or a line end to letters.  Then that byte
+        parts pre-tokens without a pattern, and a word is merged together with a line end before it and marks after it."""
+        if any(model[k] for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+            return False
+        byte = {ord(c): b for b, c in self.table.items()}
+        marks = tuple(self.table[ord(c)] for c in MARKS)
+        for a, b in (x if isinstance(x, list) else x.split(" ") for x in model["merges"]):
+            if NO_TEXT in a or NO_TEXT in b:
+                return False
+            if b.startswith(marks):
+                try:
+                    last = a.translate(byte).encode("latin-1").decode()[-1]
+                except UnicodeDecodeError:
+                    return False
+                if last.isalpha():
+                    return False
+            first = b.translate(byte)[0]
+            if a.endswith(self.table[10]) and (first.isascii() and first.isalpha() or first >= "\x80" and not _no_letter(b.translate(byte))):
+                return False
+        return NO_TEXT in model["vocab"]
 
     def chunks(self, text: str) -> list[str]:
         plain = text.replace("\n", "").isprintable()  # blanks and line ends are the only white space
@@ -89,11 +128,12 @@ class ChunkEncoder:
                 self.known[c] = np.array(e.ids, self.dtype).tobytes()
 
     def _merged(self, pretokens: list[str]) -> None:
-        """ids of pre-tokens without line ends."""
-        width = self.dtype.itemsize
-        for at in range(0, len(pretokens), 2000):
-            part = pretokens[at : at + 2000]
-            lines = "\n".join([*part, ""]).encode().decode("latin-1").translate(self.table)
+        """ids of pre-tokens, without line ends unless these are apart."""
+        width, per = self.dtype.itemsize, 512 if self.apart else 2000
+        for at in range(0, len(pretokens), per):
+            part = pretokens[at : at + per]
+            data = b"\xff".join([*map(str.encode, part), b""]) if self.apart else "\n".join([*part, ""]).encode()
+            lines = data.decode("latin-1").translate(self.table)
             ids = np.array(self.merges.encode_batch_fast([lines], add_special_tokens=False)[0].ids, self.dtype)
             stops = np.flatnonzero(ids == self.line_end)
             if len(stops) != len(part):
@@ -130,6 +170,8 @@ class ChunkEncoder:
                     else:
                         more.append(c)
                         cut.append(findall(p))
+                elif self.apart and (p := c.rstrip(MARKS))[1:].isalpha() and (p[0] in " \n" or p[0].isalpha()):
+                    words.append(c)
                 elif c[1:].isalpha() and (c[:1] == " " or c[:1].isalpha()):
                     words.append(c)
                 elif c[:1] == "\n" and c[1:].isalpha():
@@ -144,7 +186,7 @@ class ChunkEncoder:
                     more.append(c)
                     cut.append(findall(c))
             new = self._find(set(first).union(second, *cut).difference(known, words))
-            lines = [p for p in new if "\n" in p]
+            lines = [] if self.apart else [p for p in new if "\n" in p]
             self._merged(words)
             self._merged(list(new.difference(lines)))
             self._whole(lines)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from hirelens.llm import chat, langid, matroska, ordinal, packing, queries, simhash, token_store, toxicity, voronoi, wfst
-from hirelens.llm.subwords import encoder
+from hirelens.llm.subwords import ChunkEncoder, encoder
 
 P = pytest.importorskip("public_tokenizers")
 SF = "/root/testdata/sf0.001"
@@ -202,6 +202,22 @@ def test_token_store_round_trip(spark, odd, corpus, empty, tmp_path):
     assert token_store.store_documents(empty, path).count() == 0
 
 
+def test_words_with_marks_are_merged_in_one_piece():
+    """A chunk of a word, a line end before it and marks after it is looked up and merged once, not as two or three pre-tokens."""
+    e = ChunkEncoder(P.path("byte_bpe_50k.json"), True)
+    text = "Alpha, beta; gammä###\nDelta... the eñd"
+    e.encode_all([text])
+    assert set(e.known) == set(e.chunks(text))
+    r = random.Random(3)
+    parts = [*"abZéñüß'.,;:!?|#*% \n\t-_09\x00\xa0«×ªµ", "'s", "'ll", " \n", "\n\n", "ʼ", "ɐ", "日", "””,", "\r\n", "...", "###", "\nab"]
+    batch = ["".join(r.choice(parts) for _ in range(r.randint(0, 60))) for _ in range(3000)]
+    assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode_all(batch)] == [x.ids for x in e.tokenizer.encode_batch(batch, add_special_tokens=False)]
+    kind = dict.fromkeys(("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    joins = lambda *merge: not e._apart({**kind, "vocab": {"ÿ": 0}, "merges": [["a", "b"], ["Ġ", "a"], ["#", "#"], ["Ċ", "Ċ"], list(merge)]})
+    assert [joins(*x) for x in (("a", ","), ("Ġa", "#b"), ("Ã©", "."), ("©", "."), ("Ċ", "a"), ("Ċ", "Ã"), ("a", "ÿ"))] == [True] * 7
+    assert not joins("Ġ", ",") and not joins("âĢĿ", ",") and not joins("a", "c")
+
+
 def test_chunks_follow_content():
     r = np.random.default_rng(3)
     shared = r.integers(0, 50_000, 20_000).astype("<u2")
